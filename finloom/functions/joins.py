@@ -12,8 +12,8 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     """Count rows and text bytes in one aggregate; only the two totals reach the driver."""
-    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in df.columns), F.lit(0))
-    seen = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    width = " + ".join(f"coalesce(octet_length(CAST({c} AS STRING)), 0) + 8" for c in df.columns)
+    seen = df.agg(F.expr("count(*) AS n"), F.expr(f"coalesce(sum({width}), 0) AS b")).first()
     return seen["n"] <= max_rows and seen["b"] <= max_bytes
 
 

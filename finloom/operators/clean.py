@@ -15,13 +15,13 @@ from finloom.schemas import CLEAN
 
 def parse_dates(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Parse the columns the schema declares as dates; the other columns pass through."""
-    dates = [f.name for f in schema.fields if isinstance(f.dataType, T.DateType)]
-    return df.withColumns({name: lenient_date(F.col(name)) for name in dates}) if dates else df
+    dates = {f.name for f in schema.fields if isinstance(f.dataType, T.DateType)}
+    return df.selectExpr(*(f"{lenient_date(c)} AS {c}" if c in dates else c for c in df.columns))
 
 
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast raw text to the declared types in one projection; text that does not fit becomes NULL."""
-    return df.select(*(as_type(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields))
+    return df.selectExpr(*(f"{as_type(f.name, f.dataType)} AS {f.name}" for f in schema.fields))
 
 
 def null_policy(df: DataFrame, keys: Sequence[str], fill_zero: Sequence[str] = ()) -> DataFrame:
@@ -29,10 +29,8 @@ def null_policy(df: DataFrame, keys: Sequence[str], fill_zero: Sequence[str] = (
 
     Measures stay NULL unless listed in ``fill_zero``. Both outcomes come from one pass over the rows.
     """
-    complete = F.lit(True)
-    for key in keys:
-        complete = complete & F.col(key).isNotNull()
-    tagged = df.withColumn("disposition", F.when(complete, "kept").otherwise("rejected"))
+    complete = " AND ".join(f"{key} IS NOT NULL" for key in keys)
+    tagged = df.withColumn("disposition", F.expr(f"CASE WHEN {complete} THEN 'kept' ELSE 'rejected' END"))
     return tagged.fillna(0, subset=list(fill_zero)) if fill_zero else tagged
 
 

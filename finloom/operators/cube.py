@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finloom.functions.columns import conform
+from finloom.functions.columns import conform, named
 from finloom.functions.joins import is_small
 from finloom.layer import Layer
 from finloom.schemas import CUBE
@@ -58,14 +58,14 @@ def _attach(
     names give way to the dimension's.
     """
     picked = {name: source for name, source in attributes.items() if name in wanted}
-    foreign = F.col(key).alias("_foreign")
-    df = df.select(foreign, *(c for c in df.columns if c not in attributes))
+    kept = [c for c in df.columns if c not in attributes]
     if not picked:
-        return df.drop("_foreign")
-    side = dimension.select(F.col(key).alias("_key"), *(F.col(s).alias(n) for n, s in picked.items()))
+        return df.select(*kept)
+    fact_key, dim_key = f"_fact_{key}", f"_dim_{key}"
+    side = dimension.selectExpr(f"{key} AS {dim_key}", *(f"{source} AS {name}" for name, source in picked.items()))
     if measured and is_small(side):
         side = F.broadcast(side)
-    return df.join(side, df["_foreign"] == side["_key"], "left").drop("_foreign", "_key")
+    return df.selectExpr(f"{key} AS {fact_key}", *kept).join(side, F.expr(f"{fact_key} = {dim_key}"), "left")
 
 
 def _wanted(columns: Iterable[str] | None) -> set[str]:
@@ -85,7 +85,7 @@ def payroll_branch(mart: Layer, columns: Iterable[str] | None = None, fact: Data
     df = _attach(df, mart["dim_employee"], "employee_id", _EMPLOYEE, wanted)
     df = _attach(df, mart["dim_departments"], "department_id", _DEPARTMENT, wanted)
     df = _attach(df, mart["dim_company"], "company_id", _COMPANY, wanted)
-    return conform(df.withColumn("source_fact", F.lit(PAYROLL)), CUBE, wanted)
+    return conform(df.selectExpr("*", f"'{PAYROLL}' AS source_fact"), CUBE, wanted)
 
 
 def gl_branch(mart: Layer, columns: Iterable[str] | None = None, fact: DataFrame | None = None) -> DataFrame:
@@ -97,7 +97,7 @@ def gl_branch(mart: Layer, columns: Iterable[str] | None = None, fact: DataFrame
     df = _attach(df, mart["dim_account"], "account_id", _ACCOUNT, wanted, measured=True)
     df = _attach(df, mart["dim_departments"], "department_id", _DEPARTMENT, wanted)
     df = _attach(df, mart["dim_company"], "company_id", _COMPANY, wanted)
-    return conform(df.withColumn("source_fact", F.lit(GENERAL_LEDGER)), CUBE, wanted)
+    return conform(df.selectExpr("*", f"'{GENERAL_LEDGER}' AS source_fact"), CUBE, wanted)
 
 
 def integrated_cube(mart: Layer, columns: Iterable[str] | None = None) -> DataFrame:
@@ -115,18 +115,18 @@ def profile(cube: DataFrame) -> DataFrame:
     department groups instead needs one aggregate of the facts and one of a few hundred rows.
     """
     groups = cube.groupBy("source_fact", "company_id", "department_id").agg(
-        F.count("*").alias("n"),
-        F.min("transaction_date").alias("first"),
-        F.max("transaction_date").alias("last"),
+        *named(n="count(*)", first_day="min(transaction_date)", last_day="max(transaction_date)")
     )
     return (
         groups.groupBy("source_fact")
         .agg(
-            F.sum("n").alias("total_records"),
-            F.count_distinct("company_id").alias("unique_companies"),
-            F.count_distinct("department_id").alias("unique_departments"),
-            F.min("first").alias("earliest_transaction"),
-            F.max("last").alias("latest_transaction"),
+            *named(
+                total_records="sum(n)",
+                unique_companies="count(DISTINCT company_id)",
+                unique_departments="count(DISTINCT department_id)",
+                earliest_transaction="min(first_day)",
+                latest_transaction="max(last_day)",
+            )
         )
         .orderBy("source_fact")
     )

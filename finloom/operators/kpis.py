@@ -11,34 +11,42 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finloom.functions.money import percentage, quotient, total
+from finloom.functions.columns import fiscal_month_label, named
+from finloom.functions.money import amount, percentage, quotient, total
 from finloom.layer import Layer
 from finloom.operators.mart import POSTED
-from finloom.schemas import TOTAL
 
-MONTH = ("fiscal_year", "fiscal_period", "fiscal_month_label")
+MONTH = ("fiscal_year", "fiscal_period")
+LABEL = f"{fiscal_month_label(*MONTH)} AS fiscal_month_label"
 ROLLUP = "gl_monthly"
 
 
 def gl_monthly(fact_gl: DataFrame) -> DataFrame:
-    """Posted debits and credits per month, company, section and category."""
+    """Posted debits and credits per month, company, section and category.
+
+    The month label is a function of year and period, so it is left out of the keys and put back on the KPI
+    rows: the scan reads one text column less and the facts are hashed on fewer bytes.
+    """
     return (
-        fact_gl.filter(F.col("status") == POSTED)
+        fact_gl.filter(f"status = '{POSTED}'")
         .groupBy(*MONTH, "company_id", "pl_section", "opex_category")
-        .agg(total(F.col("debit_amount")).alias("debits"), total(F.col("credit_amount")).alias("credits"))
+        .agg(*named(debits=total("debit_amount"), credits=total("credit_amount")))
     )
 
 
-def _rollup(mart: Layer) -> DataFrame:
-    return mart[ROLLUP] if ROLLUP in mart else gl_monthly(mart["fact_gl"])
+def _rollup(mart: Layer, *sections: str) -> DataFrame:
+    """The monthly rollup, of the given sections or of all."""
+    monthly = mart[ROLLUP] if ROLLUP in mart else gl_monthly(mart["fact_gl"])
+    wanted = ", ".join(f"'{section}'" for section in sections)
+    return monthly.filter(f"pl_section IN ({wanted})") if sections else monthly
 
 
-def _in_section(section: str, amount: str) -> Column:
-    """Sum of one section's amount, 0 where the group has none of it."""
-    return total(F.when(F.col("pl_section") == section, F.col(amount)).otherwise(F.lit(0).cast(TOTAL)))
+def _in_section(section: str, side: str) -> str:
+    """Sum of one section's side, 0 where the group has none of it."""
+    return total(f"CASE WHEN pl_section = '{section}' THEN {side} ELSE 0 END")
 
 
 def _with_company(df: DataFrame, mart: Layer) -> DataFrame:
@@ -51,51 +59,48 @@ def _with_department(df: DataFrame, mart: Layer, *attributes: str) -> DataFrame:
 
 
 def monthly_consolidated_revenue(mart: Layer) -> DataFrame:
-    monthly = (
-        _rollup(mart)
-        .filter(F.col("pl_section") == "Revenue")
-        .groupBy(*MONTH)
-        .agg(total(F.col("credits")).alias("total_revenue"))
-    )
+    monthly = _rollup(mart, "Revenue").groupBy(*MONTH).agg(*named(total_revenue=total("credits")))
     # One row per month: the window's single partition holds twelve rows a year, at any data size.
-    before = F.lag("total_revenue").over(Window.orderBy("fiscal_year", "fiscal_period"))
+    before = "lag(total_revenue) OVER (ORDER BY fiscal_year, fiscal_period)"
     return (
-        monthly.withColumn("prev_month_revenue", before)
-        .withColumn(
-            "mom_growth_pct",
-            percentage(F.col("total_revenue") - F.col("prev_month_revenue"), F.col("prev_month_revenue")),
+        monthly.selectExpr("*", f"{before} AS prev_month_revenue")
+        .selectExpr(
+            *MONTH,
+            LABEL,
+            "total_revenue",
+            "prev_month_revenue",
+            f"{percentage('total_revenue - prev_month_revenue', 'prev_month_revenue')} AS mom_growth_pct",
         )
         .orderBy("fiscal_year", "fiscal_period")
     )
 
 
 def cost_of_sales_by_month(mart: Layer) -> DataFrame:
-    costs = (
-        _rollup(mart)
-        .filter(F.col("pl_section") == "COGS")
-        .groupBy(*MONTH, "company_id")
-        .agg(total(F.col("debits")).alias("cost_of_sales"))
-    )
+    costs = _rollup(mart, "COGS").groupBy(*MONTH, "company_id").agg(*named(cost_of_sales=total("debits")))
     return (
         _with_company(costs, mart)
-        .select(*MONTH, "company_id", "company_name", "cost_of_sales")
+        .selectExpr(*MONTH, LABEL, "company_id", "company_name", "cost_of_sales")
         .orderBy("fiscal_year", "fiscal_period", "company_id")
     )
 
 
 def gross_profit_margin(mart: Layer) -> DataFrame:
     sums = (
-        _rollup(mart)
-        .filter(F.col("pl_section").isin("Revenue", "COGS"))
+        _rollup(mart, "Revenue", "COGS")
         .groupBy(*MONTH, "company_id")
-        .agg(_in_section("Revenue", "credits").alias("revenue"), _in_section("COGS", "debits").alias("cogs"))
-        .withColumn("gross_profit", (F.col("revenue") - F.col("cogs")).cast(TOTAL))
-        .withColumn("gross_profit_margin_pct", percentage(F.col("gross_profit"), F.col("revenue")))
+        .agg(*named(revenue=_in_section("Revenue", "credits"), cogs=_in_section("COGS", "debits")))
     )
     return (
         _with_company(sums, mart)
-        .select(
-            *MONTH, "company_id", "company_name", "revenue", "cogs", "gross_profit", "gross_profit_margin_pct"
+        .selectExpr(
+            *MONTH,
+            LABEL,
+            "company_id",
+            "company_name",
+            "revenue",
+            "cogs",
+            f"{amount('revenue - cogs')} AS gross_profit",
+            f"{percentage('revenue - cogs', 'revenue')} AS gross_profit_margin_pct",
         )
         .orderBy("fiscal_year", "fiscal_period", "company_id")
     )
@@ -103,14 +108,13 @@ def gross_profit_margin(mart: Layer) -> DataFrame:
 
 def opex_breakdown(mart: Layer) -> DataFrame:
     costs = (
-        _rollup(mart)
-        .filter(F.col("pl_section") == "Operating Expense")
-        .groupBy(*MONTH, "company_id", F.coalesce("opex_category", F.lit("Other")).alias("opex_category"))
-        .agg(total(F.col("debits")).alias("opex_amount"))
+        _rollup(mart, "Operating Expense")
+        .groupBy(*MONTH, "company_id", F.expr("coalesce(opex_category, 'Other') AS opex_category"))
+        .agg(*named(opex_amount=total("debits")))
     )
     return (
         _with_company(costs, mart)
-        .select(*MONTH, "company_id", "company_name", "opex_category", "opex_amount")
+        .selectExpr(*MONTH, LABEL, "company_id", "company_name", "opex_category", "opex_amount")
         .orderBy("fiscal_year", "fiscal_period", "company_id", F.desc("opex_amount"), "opex_category")
     )
 
@@ -133,26 +137,15 @@ def avg_compensation_by_position(mart: Layer) -> DataFrame:
     apart. The join with the workforce then moves one row per employee, so an employee with a large share of
     the payroll rows weighs no more than any other.
     """
-    parts = list(_AVERAGES.values())
-    per_employee = (
-        mart["fact_payroll"]
-        .groupBy("company_id", "employee_id")
-        .agg(
-            *(F.sum(p).alias(f"{p}_sum") for p in parts),
-            *(F.count(p).alias(f"{p}_n") for p in parts),
-        )
-    )
-    positions = mart["dim_employee"].select("employee_id", "position")
+    parts = _AVERAGES.values()
+    sums = {f"{p}_sum": total(p) for p in parts}
+    counts = {f"{p}_n": f"count({p})" for p in parts}
+    per_employee = mart["fact_payroll"].groupBy("company_id", "employee_id").agg(*named(**sums, **counts))
+    averages = {name: quotient(f"sum({part}_sum)", f"sum({part}_n)") for name, part in _AVERAGES.items()}
     by_position = (
-        per_employee.join(positions, "employee_id")
+        per_employee.join(mart["dim_employee"].select("employee_id", "position"), "employee_id")
         .groupBy("company_id", "position")
-        .agg(
-            F.count_distinct("employee_id").alias("employee_count"),
-            *(
-                quotient(F.sum(f"{part}_sum"), F.sum(f"{part}_n")).alias(name)
-                for name, part in _AVERAGES.items()
-            ),
-        )
+        .agg(*named(employee_count="count(DISTINCT employee_id)", **averages))
     )
     return (
         _with_company(by_position, mart)
@@ -166,30 +159,30 @@ def net_profit_by_month(mart: Layer) -> DataFrame:
         _rollup(mart)
         .groupBy(*MONTH, "company_id")
         .agg(
-            _in_section("Revenue", "credits").alias("revenue"),
-            _in_section("COGS", "debits").alias("cogs"),
-            _in_section("Operating Expense", "debits").alias("operating_expenses"),
-            _in_section("Tax", "debits").alias("tax_expense"),
+            *named(
+                revenue=_in_section("Revenue", "credits"),
+                cogs=_in_section("COGS", "debits"),
+                operating_expenses=_in_section("Operating Expense", "debits"),
+                tax_expense=_in_section("Tax", "debits"),
+            )
         )
-        .withColumn("gross_profit", (F.col("revenue") - F.col("cogs")).cast(TOTAL))
-        .withColumn("ebit", (F.col("gross_profit") - F.col("operating_expenses")).cast(TOTAL))
-        .withColumn("net_profit", (F.col("ebit") - F.col("tax_expense")).cast(TOTAL))
-        .withColumn("net_profit_margin_pct", percentage(F.col("net_profit"), F.col("revenue")))
     )
+    ebit = "revenue - cogs - operating_expenses"
     return (
         _with_company(sums, mart)
-        .select(
+        .selectExpr(
             *MONTH,
+            LABEL,
             "company_id",
             "company_name",
             "revenue",
             "cogs",
-            "gross_profit",
+            f"{amount('revenue - cogs')} AS gross_profit",
             "operating_expenses",
-            "ebit",
+            f"{amount(ebit)} AS ebit",
             "tax_expense",
-            "net_profit",
-            "net_profit_margin_pct",
+            f"{amount(f'{ebit} - tax_expense')} AS net_profit",
+            f"{percentage(f'{ebit} - tax_expense', 'revenue')} AS net_profit_margin_pct",
         )
         .orderBy("fiscal_year", "fiscal_period", "company_id")
     )
@@ -201,33 +194,25 @@ def _payroll_by_department(mart: Layer, **sums: str) -> DataFrame:
     The distinct count is planned in two steps, the first keyed by employee as well, so a department with a
     third of all rows is spread over many tasks.
     """
+    totals = {name: total(part) for name, part in sums.items()}
     return (
         mart["fact_payroll"]
         .groupBy("company_id", "department_id")
-        .agg(
-            *(total(F.col(part)).alias(name) for name, part in sums.items()),
-            F.count_distinct("employee_id").alias("employee_count"),
-        )
+        .agg(*named(**totals, employee_count="count(DISTINCT employee_id)"))
     )
 
 
 def overtime_bonus_analysis(mart: Layer) -> DataFrame:
-    sums = (
-        _payroll_by_department(
-            mart,
-            total_overtime_pay="overtime_pay",
-            total_bonus="bonus",
-            total_gross_salary="gross_salary",
-            total_commission="commission",
-        )
-        .withColumn(
-            "overtime_to_base_ratio_pct", percentage(F.col("total_overtime_pay"), F.col("total_gross_salary"))
-        )
-        .withColumn("bonus_to_base_ratio_pct", percentage(F.col("total_bonus"), F.col("total_gross_salary")))
+    sums = _payroll_by_department(
+        mart,
+        total_overtime_pay="overtime_pay",
+        total_bonus="bonus",
+        total_gross_salary="gross_salary",
+        total_commission="commission",
     )
     return (
         _with_company(_with_department(sums, mart), mart)
-        .select(
+        .selectExpr(
             "company_id",
             "company_name",
             "department_id",
@@ -236,8 +221,8 @@ def overtime_bonus_analysis(mart: Layer) -> DataFrame:
             "total_bonus",
             "total_gross_salary",
             "total_commission",
-            "overtime_to_base_ratio_pct",
-            "bonus_to_base_ratio_pct",
+            f"{percentage('total_overtime_pay', 'total_gross_salary')} AS overtime_to_base_ratio_pct",
+            f"{percentage('total_bonus', 'total_gross_salary')} AS bonus_to_base_ratio_pct",
             "employee_count",
         )
         .orderBy("company_id", F.desc("total_overtime_pay"), "department_id")
@@ -245,51 +230,45 @@ def overtime_bonus_analysis(mart: Layer) -> DataFrame:
 
 
 def cost_per_department(mart: Layer) -> DataFrame:
-    sums = _payroll_by_department(
-        mart,
-        total_compensation_cost="total_compensation",
-        total_gross_salary="gross_salary",
-        total_bonus="bonus",
-        total_overtime="overtime_pay",
-        total_commission="commission",
-        total_allowances="allowances",
-    ).withColumn("cost_per_employee", quotient(F.col("total_compensation_cost"), F.col("employee_count")))
+    parts = {
+        "total_compensation_cost": "total_compensation",
+        "total_gross_salary": "gross_salary",
+        "total_bonus": "bonus",
+        "total_overtime": "overtime_pay",
+        "total_commission": "commission",
+        "total_allowances": "allowances",
+    }
+    sums = _payroll_by_department(mart, **parts)
     return (
         _with_company(_with_department(sums, mart, "cost_center"), mart)
-        .select(
+        .selectExpr(
             "company_id",
             "company_name",
             "department_id",
             "department_name",
             "cost_center",
-            "total_compensation_cost",
-            "total_gross_salary",
-            "total_bonus",
-            "total_overtime",
-            "total_commission",
-            "total_allowances",
+            *parts,
             "employee_count",
-            "cost_per_employee",
+            f"{quotient('total_compensation_cost', 'employee_count')} AS cost_per_employee",
         )
         .orderBy("company_id", F.desc("total_compensation_cost"), "department_id")
     )
 
 
 def headcount_by_department(mart: Layer) -> DataFrame:
-    def holding(position: str) -> Column:
-        return F.count_if(F.col("position") == position)
-
     counts = (
         mart["dim_employee"]
         .filter("is_active")
         .groupBy("company_id", "department_id")
         .agg(
-            F.count("*").alias("active_headcount"),
-            holding("Junior").alias("junior_count"),
-            holding("Senior").alias("senior_count"),
-            holding("Manager").alias("manager_count"),
-            quotient(F.sum("base_salary"), F.count("base_salary")).alias("avg_base_salary"),
-            total(F.col("base_salary")).alias("total_annual_base_cost"),
+            *named(
+                active_headcount="count(*)",
+                junior_count="count_if(position = 'Junior')",
+                senior_count="count_if(position = 'Senior')",
+                manager_count="count_if(position = 'Manager')",
+                avg_base_salary=quotient("sum(base_salary)", "count(base_salary)"),
+                total_annual_base_cost=total("base_salary"),
+            )
         )
     )
     return (
@@ -313,36 +292,25 @@ def headcount_by_department(mart: Layer) -> DataFrame:
 
 def payroll_cost_pct_revenue(mart: Layer) -> DataFrame:
     """Months with both revenue and payroll in a company; others drop out."""
-    revenue = (
-        _rollup(mart)
-        .filter(F.col("pl_section") == "Revenue")
-        .groupBy(*MONTH, "company_id")
-        .agg(total(F.col("credits")).alias("total_revenue"))
-    )
+    revenue = _rollup(mart, "Revenue").groupBy(*MONTH, "company_id").agg(*named(total_revenue=total("credits")))
     pay = (
         mart["fact_payroll"]
         .groupBy("fiscal_year", "fiscal_period", "company_id")
-        .agg(
-            total(F.col("total_compensation")).alias("total_payroll_cost"),
-            F.count_distinct("employee_id").alias("headcount"),
-        )
-    )
-    both = (
-        revenue.join(pay, ["fiscal_year", "fiscal_period", "company_id"])
-        .withColumn("payroll_pct_of_revenue", percentage(F.col("total_payroll_cost"), F.col("total_revenue")))
-        .withColumn("revenue_per_employee", quotient(F.col("total_revenue"), F.col("headcount")))
+        .agg(*named(total_payroll_cost=total("total_compensation"), headcount="count(DISTINCT employee_id)"))
     )
+    both = revenue.join(pay, ["fiscal_year", "fiscal_period", "company_id"])
     return (
         _with_company(both, mart)
-        .select(
+        .selectExpr(
             *MONTH,
+            LABEL,
             "company_id",
             "company_name",
             "total_revenue",
             "total_payroll_cost",
             "headcount",
-            "payroll_pct_of_revenue",
-            "revenue_per_employee",
+            f"{percentage('total_payroll_cost', 'total_revenue')} AS payroll_pct_of_revenue",
+            f"{quotient('total_revenue', 'headcount')} AS revenue_per_employee",
         )
         .orderBy("fiscal_year", "fiscal_period", "company_id")
     )

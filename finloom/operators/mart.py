@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from finloom.functions.columns import classify, conform
+from finloom.functions.columns import classify
 from finloom.functions.joins import lookup
 from finloom.layer import Layer
 from finloom.schemas import MART
@@ -41,19 +40,17 @@ FACT_PARTITIONS = ("fiscal_year", "company_id")
 
 def dim_account(accounts: DataFrame) -> DataFrame:
     """Accounts with their P&L section and operating expense category."""
-    number = F.col("account_id")
-    return accounts.withColumns(
-        {
-            "pl_section": classify(number, PL_SECTIONS, OUTSIDE_PL),
-            "opex_category": classify(number, OPEX_RANGES, None),
-        }
+    return accounts.selectExpr(
+        "*",
+        f"{classify('account_id', PL_SECTIONS, OUTSIDE_PL)} AS pl_section",
+        f"{classify('account_id', OPEX_RANGES, None)} AS opex_category",
     )
 
 
 def fact_gl(general_ledgers: DataFrame, accounts_dim: DataFrame) -> DataFrame:
     """Posted ledger lines with the attributes of their account; NULL attributes for an unknown account."""
     attributes = accounts_dim.select("account_id", "pl_section", "opex_category", "account_type", "account_name")
-    return lookup(general_ledgers.filter(F.col("status") == POSTED), attributes, "account_id")
+    return lookup(general_ledgers.filter(f"status = '{POSTED}'"), attributes, "account_id")
 
 
 def mart_layer(silver: Layer, dimensions: Layer | None = None) -> Layer:
@@ -66,5 +63,5 @@ def mart_layer(silver: Layer, dimensions: Layer | None = None) -> Layer:
         "fact_gl": lambda: fact_gl(silver["general_ledgers"], (dimensions or mart)["dim_account"]),
         "fact_payroll": lambda: silver["payroll"],
     }
-    mart = Layer({name: lambda name=name, f=f: conform(f(), MART[name]) for name, f in frames.items()})
+    mart = Layer({name: lambda name=name, f=f: f().select(*MART[name].names) for name, f in frames.items()})
     return mart

@@ -3,35 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finloom.functions.columns import as_type
+from finloom.functions.columns import as_type, named
 
 
 def null_counts(raw: DataFrame, schema: T.StructType, table: str) -> DataFrame:
     """Per column: rows, rows NULL after cleaning, and how many of those had text that did not parse."""
 
-    def of_column(field: T.StructField) -> Column:
-        text = F.col(field.name)
-        value = as_type(text, field.dataType)
-        return F.struct(
-            F.lit(field.name).alias("column_name"),
-            F.count_if(value.isNull()).alias("n_null"),
-            F.count_if(value.isNull() & (text != "")).alias("n_unparsed"),
+    def of_column(field: T.StructField) -> str:
+        value = as_type(field.name, field.dataType)
+        return (
+            f"struct('{field.name}' AS column_name, count_if({value} IS NULL) AS n_null, "
+            f"count_if({value} IS NULL AND {field.name} <> '') AS n_unparsed)"
         )
 
-    counted = raw.agg(F.count("*").alias("n_rows"), F.array(*(of_column(f) for f in schema.fields)).alias("columns"))
-    return counted.select(F.lit(table).alias("table_name"), "n_rows", F.inline("columns")).select(
+    columns = ", ".join(of_column(f) for f in schema.fields)
+    counted = raw.agg(F.expr("count(*) AS n_rows"), F.expr(f"array({columns}) AS columns"))
+    return counted.selectExpr(f"'{table}' AS table_name", "n_rows", "inline(columns)").select(
         "table_name", "column_name", "n_rows", "n_null", "n_unparsed"
     )
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys that occur more than once."""
-    return df.groupBy(key).agg(F.count("*").alias("n_rows")).filter(F.col("n_rows") > 1)
+    return df.groupBy(key).agg(F.expr("count(*) AS n_rows")).filter("n_rows > 1")
 
 
 def orphans(fact: DataFrame, name: str, references: Mapping[str, DataFrame]) -> DataFrame:
@@ -40,43 +40,37 @@ def orphans(fact: DataFrame, name: str, references: Mapping[str, DataFrame]) ->
     ``references`` maps a fact column to the dimension that has it as key. The fact is read once for all its
     foreign keys and counted per key value before the anti join, so hot keys are gone when rows move.
     """
-    pairs = F.array(
-        *(F.struct(F.lit(fk).alias("foreign_key"), F.col(fk).cast("string").alias("key_value")) for fk in references)
-    )
+    pairs = ", ".join(f"struct('{fk}' AS foreign_key, CAST({fk} AS STRING) AS key_value)" for fk in references)
     used = (
-        fact.select(F.inline(pairs))
-        .filter(F.col("key_value").isNotNull())
+        fact.selectExpr(f"inline(array({pairs}))")
+        .filter("key_value IS NOT NULL")
         .groupBy("foreign_key", "key_value")
-        .agg(F.count("*").alias("n_rows"))
+        .agg(F.expr("count(*) AS n_rows"))
     )
-    known = None
-    for fk, dimension in references.items():
-        keys = dimension.select(F.lit(fk).alias("foreign_key"), F.col(fk).cast("string").alias("key_value"))
-        known = keys if known is None else known.unionByName(keys)
-    missing = used.join(known, ["foreign_key", "key_value"], "left_anti")
-    return missing.select(F.lit(name).alias("fact_name"), "foreign_key", "key_value", "n_rows")
+    known = [d.selectExpr(f"'{fk}' AS foreign_key", f"CAST({fk} AS STRING) AS key_value") for fk, d in references.items()]
+    missing = used.join(reduce(DataFrame.unionByName, known), ["foreign_key", "key_value"], "left_anti")
+    return missing.selectExpr(f"'{name}' AS fact_name", "foreign_key", "key_value", "n_rows")
 
 
-def reconcile(
-    table: str, raw: DataFrame, tagged: DataFrame, fact: DataFrame, excluded: DataFrame
-) -> DataFrame:
+def reconcile(table: str, raw: DataFrame, tagged: DataFrame, fact: DataFrame, excluded: DataFrame) -> DataFrame:
     """Row counts from raw to fact: raw = kept + rejected, and kept = fact + excluded by the fact's filter.
 
     Every layer is counted on its own; on stored tables a count reads file footers only.
     """
     def count(df: DataFrame, measure: str) -> DataFrame:
-        return df.agg(F.count("*").alias("n")).select(F.lit(measure).alias("measure"), "n")
-
-    by_outcome = tagged.groupBy("disposition").agg(F.count("*").alias("n"))
-    counts = (
-        count(raw, "n_raw")
-        .unionByName(by_outcome.select(F.concat(F.lit("n_"), F.col("disposition")).alias("measure"), "n"))
-        .unionByName(count(fact, "n_fact"))
-        .unionByName(count(excluded, "n_excluded"))
+        return df.agg(F.expr("count(*) AS n")).selectExpr(f"'{measure}' AS measure", "n")
+
+    by_outcome = tagged.groupBy("disposition").agg(F.expr("count(*) AS n"))
+    counts = reduce(
+        DataFrame.unionByName,
+        [
+            count(raw, "n_raw"),
+            by_outcome.selectExpr("concat('n_', disposition) AS measure", "n"),
+            count(fact, "n_fact"),
+            count(excluded, "n_excluded"),
+        ],
     )
     measures = ("n_raw", "n_kept", "n_rejected", "n_fact", "n_excluded")
-    wide = counts.agg(*(F.coalesce(F.sum(F.when(F.col("measure") == m, F.col("n"))), F.lit(0)).alias(m) for m in measures))
-    balanced = (F.col("n_raw") == F.col("n_kept") + F.col("n_rejected")) & (
-        F.col("n_kept") == F.col("n_fact") + F.col("n_excluded")
-    )
-    return wide.select(F.lit(table).alias("table_name"), *measures, balanced.alias("balanced"))
+    wide = counts.agg(*named(**{m: f"coalesce(sum(n) FILTER (WHERE measure = '{m}'), 0)" for m in measures}))
+    balanced = "n_raw = n_kept + n_rejected AND n_kept = n_fact + n_excluded"
+    return wide.selectExpr(f"'{table}' AS table_name", *measures, f"{balanced} AS balanced")

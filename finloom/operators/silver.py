@@ -3,52 +3,60 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from finloom.functions.columns import conform, fiscal_month_label
-from finloom.functions.money import add_up
+from finloom.functions.columns import fiscal_month_label
+from finloom.functions.money import add_up, money
 from finloom.layer import Layer
-from finloom.schemas import DEDUCTIONS, MONEY, PAY_PARTS, SILVER
+from finloom.schemas import DEDUCTIONS, PAY_PARTS, SILVER
+
+
+def _project(df: DataFrame, table: str, **derived: str) -> DataFrame:
+    """The silver columns of a table, computed from ``derived`` or taken as they are."""
+    return df.selectExpr(*(f"{derived[c]} AS {c}" if c in derived else c for c in SILVER[table].names))
 
 
 def accounts(clean: DataFrame) -> DataFrame:
-    return clean.drop("account_code")
+    return _project(clean, "accounts")
+
+
+def company(clean: DataFrame) -> DataFrame:
+    return clean
 
 
 def departments(clean: DataFrame) -> DataFrame:
-    return clean.drop("department_code")
+    return _project(clean, "departments")
 
 
 def employee(clean: DataFrame) -> DataFrame:
     """Full name from the parts that are known (empty when none is)."""
-    named = clean.withColumn("FullName", F.concat_ws(" ", F.col("first_name"), F.col("last_name")))
-    return named.drop("employee_code", "first_name", "last_name")
+    return _project(clean, "employee", FullName="concat_ws(' ', first_name, last_name)")
 
 
 def general_ledgers(clean: DataFrame) -> DataFrame:
-    derived = {
-        "net_amount": (F.col("credit_amount") - F.col("debit_amount")).cast(MONEY),
-        "fiscal_month_label": fiscal_month_label(F.col("fiscal_year"), F.col("fiscal_period")),
-    }
-    return clean.drop("reference_number", "description").withColumns(derived)
+    return _project(
+        clean,
+        "general_ledgers",
+        net_amount=money("credit_amount - debit_amount"),
+        fiscal_month_label=fiscal_month_label("fiscal_year", "fiscal_period"),
+    )
 
 
 def payroll(clean: DataFrame) -> DataFrame:
     """Totals over the pay parts and deductions; the fiscal month is that of the pay date."""
-    year, period = F.year("pay_date"), F.month("pay_date")
-    derived = {
-        "total_compensation": add_up(PAY_PARTS),
-        "total_deductions": add_up(DEDUCTIONS),
-        "fiscal_year": year,
-        "fiscal_period": period,
-        "fiscal_month_label": fiscal_month_label(year, period),
-    }
-    return clean.drop("payment_method").withColumns(derived)
+    return _project(
+        clean,
+        "payroll",
+        total_compensation=add_up(PAY_PARTS),
+        total_deductions=add_up(DEDUCTIONS),
+        fiscal_year="year(pay_date)",
+        fiscal_period="month(pay_date)",
+        fiscal_month_label=fiscal_month_label("year(pay_date)", "month(pay_date)"),
+    )
 
 
 _BUILD = {
     "accounts": accounts,
-    "company": lambda clean: clean,
+    "company": company,
     "departments": departments,
     "employee": employee,
     "general_ledgers": general_ledgers,
@@ -57,4 +65,4 @@ _BUILD = {
 
 
 def silver_layer(clean: Layer) -> Layer:
-    return Layer({name: lambda name=name, f=f: conform(f(clean[name]), SILVER[name]) for name, f in _BUILD.items()})
+    return Layer({name: lambda name=name, f=f: f(clean[name]) for name, f in _BUILD.items()})

@@ -23,15 +23,19 @@ def overwrite_table(df: DataFrame, table: str, table_format: str = "parquet", pa
 
 
 def overwrite_partitions(df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
-    """Replace only the partitions that occur in ``df`` (re-run of one fiscal year)."""
-    ordered = [c for c in df.sparkSession.table(table).columns]
-    (
-        df.select(*ordered)
-        .hint("rebalance", *partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    """Replace only the partitions that occur in ``df`` (re-run of one fiscal year).
+
+    The mode is a session setting for the time of the write: ``insertInto`` does not take it as an option.
+    """
+    spark = df.sparkSession
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    rows = df.select(*spark.table(table).columns).hint("rebalance", *partition_by)
+    spark.conf.set(setting, "dynamic")
+    try:
+        rows.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def publish_temp_views(frames: Mapping[str, DataFrame]) -> None:

@@ -7,149 +7,137 @@ The mapping is described in FIXTURES.md.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from finloom.functions.columns import RAW_DATE_FORMAT, conform
+from finloom.functions.columns import RAW_DATE_FORMAT
+from finloom.functions.money import money
 from finloom.layer import Layer
-from finloom.schemas import MANIFEST, MONEY, RAW
+from finloom.schemas import MANIFEST, RAW
 
 
-def _money(column: Column) -> Column:
-    return column.cast(MONEY).cast("string")
+def _text(expression: str) -> str:
+    return f"CAST({expression} AS STRING)"
 
 
-def _date(column: Column) -> Column:
-    return F.date_format(column, RAW_DATE_FORMAT)
+def _date(expression: str, pattern: str = RAW_DATE_FORMAT) -> str:
+    return f"date_format({expression}, '{pattern}')"
 
 
-def _account_number(part_key: str) -> Column:
-    return F.lit(1000) + 10 * ((F.col(part_key) * 37) % 640)
-
-
-def accounts(part: DataFrame) -> DataFrame:
-    slot = (F.col("p_partkey") * 37) % 640
-    grouped = (
-        part.filter(slot % 50 != 7)
-        .groupBy(_account_number("p_partkey").alias("account_id"))
-        .agg(
-            F.min("p_name").alias("account_name"),
-            F.min("p_type").alias("account_type"),
-            F.min("p_brand").alias("category"),
-        )
-    )
-    return grouped.withColumns(
-        {"account_code": F.concat(F.lit("ACC-"), F.col("account_id").cast("string")), "is_active": F.lit("TRUE")}
-    )
-
-
-def company(region: DataFrame) -> DataFrame:
-    key = F.col("r_regionkey")
-    return region.select(
-        (key + 1).alias("company_id"),
-        F.col("r_name").alias("company_name"),
-        F.lit("Technology").alias("industry"),
-        F.concat(F.lit("C"), key.cast("string")).alias("country"),
-        F.concat(F.lit("15-03-20"), (key + 10).cast("string")).alias("established_date"),
-        F.lit("TRUE").alias("is_active"),
+def accounts(part: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """Parts folded onto 640 account numbers; some numbers are left out, so ledger lines point nowhere."""
+    folded = (
+        part.selectExpr("(p_partkey * 37) % 640 AS slot", "p_name", "p_type", "p_brand")
+        .filter("slot % 50 <> 7")
+        .groupBy("slot")
+        .agg({"p_name": "min", "p_type": "min", "p_brand": "min"})
+        .withColumnRenamed("min(p_name)", "account_name")
+        .withColumnRenamed("min(p_type)", "account_type")
+        .withColumnRenamed("min(p_brand)", "category")
     )
-
-
-def departments(nation: DataFrame) -> DataFrame:
-    key = F.col("n_nationkey")
-    return nation.filter(key != 24).select(
-        (key + 1).alias("department_id"),
-        F.concat(F.lit("DEPT-"), F.lpad((key + 1).cast("string"), 3, "0")).alias("department_code"),
-        F.col("n_name").alias("department_name"),
-        F.concat(F.lit("CC-"), (key + 1001).cast("string")).alias("cost_center"),
-    )
-
-
-def employee(customer: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    segment = F.col("c_mktsegment")
-    days = (key % 3000).cast("int")
-    return customer.select(
-        key.alias("employee_id"),
-        F.concat(F.lit("EMP-"), key.cast("string")).alias("employee_code"),
-        F.when(key % 97 != 0, segment).alias("first_name"),
-        F.col("c_name").alias("last_name"),
-        F.concat(F.lit("e"), key.cast("string"), F.lit("@example.com")).alias("email"),
-        (F.col("c_nationkey") + 1).alias("department_id"),
-        (key % 5 + 1).alias("company_id"),
-        F.when(segment.isin("AUTOMOBILE", "MACHINERY"), "Junior")
-        .when(segment == "BUILDING", "Senior")
-        .when(segment == "FURNITURE", "Manager")
-        .when(segment == "HOUSEHOLD", "Director")
-        .alias("position"),
-        _date(F.date_add(F.lit("2015-01-01").cast("date"), days)).alias("hire_date"),
-        F.when(F.col("c_acctbal") < 0, _date(F.date_add(F.lit("2016-02-01").cast("date"), days))).alias(
-            "termination_date"
+    return folded, {
+        "account_id": _text("1000 + 10 * slot"),
+        "account_code": "concat('ACC-', 1000 + 10 * slot)",
+        "is_active": "'TRUE'",
+    }
+
+
+def company(region: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    return region, {
+        "company_id": _text("r_regionkey + 1"),
+        "company_name": "r_name",
+        "industry": "'Technology'",
+        "country": "concat('C', r_regionkey)",
+        "established_date": "concat('15-03-20', r_regionkey + 10)",
+        "is_active": "'TRUE'",
+    }
+
+
+def departments(nation: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    return nation.filter("n_nationkey <> 24"), {
+        "department_id": _text("n_nationkey + 1"),
+        "department_code": f"concat('DEPT-', lpad({_text('n_nationkey + 1')}, 3, '0'))",
+        "department_name": "n_name",
+        "cost_center": "concat('CC-', n_nationkey + 1001)",
+    }
+
+
+def employee(customer: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    hired = _date("date_add(DATE'2015-01-01', CAST(c_custkey % 3000 AS INT))")
+    left = _date("date_add(DATE'2016-02-01', CAST(c_custkey % 3000 AS INT))")
+    return customer, {
+        "employee_id": _text("c_custkey"),
+        "employee_code": "concat('EMP-', c_custkey)",
+        "first_name": "CASE WHEN c_custkey % 97 <> 0 THEN c_mktsegment END",
+        "last_name": "c_name",
+        "email": "concat('e', c_custkey, '@example.com')",
+        "department_id": _text("c_nationkey + 1"),
+        "company_id": _text("c_custkey % 5 + 1"),
+        "position": (
+            "CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 'Junior' "
+            "WHEN c_mktsegment = 'BUILDING' THEN 'Senior' WHEN c_mktsegment = 'FURNITURE' THEN 'Manager' "
+            "WHEN c_mktsegment = 'HOUSEHOLD' THEN 'Director' END"
         ),
-        _money(F.col("c_acctbal")).alias("base_salary"),
-        F.when(F.col("c_acctbal") >= 0, "TRUE").otherwise("FALSE").alias("is_active"),
-    )
-
-
-def general_ledgers(lineitem: DataFrame) -> DataFrame:
-    shipped = F.col("l_shipdate")
-    amount = _money(F.col("l_extendedprice"))
-    debit = F.col("l_linestatus") == "F"
-    draft = F.col("l_returnflag") == "R"
-    line = F.col("l_linenumber")
-    return lineitem.select(
-        (F.col("l_orderkey") * 10 + line).alias("gl_id"),
-        _date(F.date_sub(shipped, line)).alias("entry_date"),
-        F.when(line == 7, F.date_format(shipped, "dd-MM-yyyy")).otherwise(_date(shipped)).alias("posting_date"),
-        F.year(shipped).alias("fiscal_year"),
-        F.month(shipped).alias("fiscal_period"),
-        (F.col("l_suppkey") % 5 + 1).alias("company_id"),
-        _account_number("l_partkey").alias("account_id"),
-        (F.col("l_orderkey") % 25 + 1).alias("department_id"),
-        F.when(debit, "Debit").otherwise("Credit").alias("transaction_type"),
-        F.when(debit, amount).otherwise("0.00").alias("debit_amount"),
-        F.when(debit, "0.00").otherwise(amount).alias("credit_amount"),
-        F.concat(F.lit("REF-"), F.col("l_orderkey").cast("string")).alias("reference_number"),
-        F.concat(F.lit("Shipment line "), line.cast("string")).alias("description"),
-        F.when(draft, "Draft").otherwise("Posted").alias("status"),
-        F.concat(F.lit("user"), (F.col("l_suppkey") % 10).cast("string")).alias("created_by"),
-        F.when(~draft, F.concat(F.lit("mgr"), (F.col("l_suppkey") % 3).cast("string"))).alias("approved_by"),
-    )
-
-
-def payroll(orders: DataFrame) -> DataFrame:
-    price = F.col("o_totalprice").cast(MONEY)
-    key = F.col("o_custkey")
-    paid = _date(F.col("o_orderdate"))
-
-    def part(rate: str) -> Column:
-        return _money(price * F.lit(rate).cast("decimal(3,2)"))
-
-    return orders.select(
-        F.col("o_orderkey").alias("payroll_id"),
-        key.alias("employee_id"),
-        (key % 5 + 1).alias("company_id"),
-        (F.expr("o_custkey div 5") % 25 + 1).alias("department_id"),
-        paid.alias("pay_period_start"),
-        paid.alias("pay_period_end"),
-        paid.alias("pay_date"),
-        part("1.00").alias("gross_salary"),
-        part("0.10").alias("bonus"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", part("0.07")).otherwise("0.00").alias("overtime_pay"),
-        F.when(F.col("o_orderpriority") != "5-LOW", part("0.03")).alias("commission"),
-        part("0.02").alias("allowances"),
-        part("0.20").alias("tax_deduction"),
-        part("0.06").alias("social_security"),
-        part("0.01").alias("health_insurance"),
-        part("0.05").alias("retirement_contribution"),
-        F.lit("0.00").alias("other_deductions"),
-        part("0.68").alias("net_salary"),
-        F.lit("Bank").alias("payment_method"),
-        F.when(F.col("o_orderstatus") == "F", "Paid")
-        .when(F.col("o_orderstatus") == "O", "Pending")
-        .otherwise("Processed")
-        .alias("status"),
-    )
+        "hire_date": hired,
+        "termination_date": f"CASE WHEN c_acctbal < 0 THEN {left} END",
+        "base_salary": _text(money("c_acctbal")),
+        "is_active": "CASE WHEN c_acctbal >= 0 THEN 'TRUE' ELSE 'FALSE' END",
+    }
+
+
+def general_ledgers(lineitem: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    price = _text(money("l_extendedprice"))
+    return lineitem, {
+        "gl_id": _text("l_orderkey * 10 + l_linenumber"),
+        "entry_date": _date("date_sub(l_shipdate, l_linenumber)"),
+        "posting_date": (
+            f"CASE WHEN l_linenumber = 7 THEN {_date('l_shipdate', 'dd-MM-yyyy')} ELSE {_date('l_shipdate')} END"
+        ),
+        "fiscal_year": _text("year(l_shipdate)"),
+        "fiscal_period": _text("month(l_shipdate)"),
+        "company_id": _text("l_suppkey % 5 + 1"),
+        "account_id": _text("1000 + 10 * ((l_partkey * 37) % 640)"),
+        "department_id": _text("l_orderkey % 25 + 1"),
+        "transaction_type": "CASE WHEN l_linestatus = 'F' THEN 'Debit' ELSE 'Credit' END",
+        "debit_amount": f"CASE WHEN l_linestatus = 'F' THEN {price} ELSE '0.00' END",
+        "credit_amount": f"CASE WHEN l_linestatus = 'F' THEN '0.00' ELSE {price} END",
+        "reference_number": "concat('REF-', l_orderkey)",
+        "description": "concat('Shipment line ', l_linenumber)",
+        "status": "CASE WHEN l_returnflag = 'R' THEN 'Draft' ELSE 'Posted' END",
+        "created_by": "concat('user', l_suppkey % 10)",
+        "approved_by": "CASE WHEN l_returnflag <> 'R' THEN concat('mgr', l_suppkey % 3) END",
+    }
+
+
+def payroll(orders: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    paid = _date("o_orderdate")
+
+    def share(rate: str) -> str:
+        return _text(money(f"{money('o_totalprice')} * {rate}"))
+
+    return orders, {
+        "payroll_id": _text("o_orderkey"),
+        "employee_id": _text("o_custkey"),
+        "company_id": _text("o_custkey % 5 + 1"),
+        "department_id": _text("(o_custkey div 5) % 25 + 1"),
+        "pay_period_start": paid,
+        "pay_period_end": paid,
+        "pay_date": paid,
+        "gross_salary": share("1.00"),
+        "bonus": share("0.10"),
+        "overtime_pay": f"CASE WHEN o_orderpriority = '1-URGENT' THEN {share('0.07')} ELSE '0.00' END",
+        "commission": f"CASE WHEN o_orderpriority <> '5-LOW' THEN {share('0.03')} END",
+        "allowances": share("0.02"),
+        "tax_deduction": share("0.20"),
+        "social_security": share("0.06"),
+        "health_insurance": share("0.01"),
+        "retirement_contribution": share("0.05"),
+        "other_deductions": "'0.00'",
+        "net_salary": share("0.68"),
+        "payment_method": "'Bank'",
+        "status": (
+            "CASE o_orderstatus WHEN 'F' THEN 'Paid' WHEN 'O' THEN 'Pending' ELSE 'Processed' END"
+        ),
+    }
 
 
 _SOURCES = {
@@ -165,10 +153,12 @@ _SOURCES = {
 def raw_layer(spark: SparkSession, folder: str) -> Layer:
     """The six raw tables over the sample tables in ``folder``; nothing is read until a table is asked for."""
 
-    def maker(name: str, sample: str, build):
-        return lambda: conform(build(spark.read.parquet(f"{folder}/{sample}.parquet")), RAW[name])
+    def table(name: str) -> DataFrame:
+        sample, mapping = _SOURCES[name]
+        rows, texts = mapping(spark.read.parquet(f"{folder}/{sample}.parquet"))
+        return rows.selectExpr(*(f"{texts.get(c, c)} AS {c}" for c in RAW[name].names))
 
-    return Layer({name: maker(name, *source) for name, source in _SOURCES.items()})
+    return Layer({name: lambda name=name: table(name) for name in _SOURCES})
 
 
 def manifest(spark: SparkSession) -> DataFrame:
