@@ -7,6 +7,7 @@ landing write to a fresh place under the session's shared folder and return what
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from finloom.plans.layers import mart_of, silver_of
 from finloom.plans.pipeline import materialize_kpis, publish_kpi_views
 from finloom.schemas import CLEAN, KEYS, MART, RAW
 from finloom.scratch import fresh_folder, fresh_schema
-from finloom.sinks.tables import overwrite_table
+from finloom.sinks.tables import overwrite_table, write_together
 from finloom.sources import files, samples
 from oracle.sql import QUERIES
 
@@ -84,8 +85,7 @@ def ingest_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Land all six raw tables as files, load them as the control table says, count what was stored."""
     landing = fresh_folder(spark, "landing")
     raw = samples.raw_layer(spark, folder)
-    for name in raw:
-        _land(raw, name, landing)
+    write_together([partial(_land, raw, name, landing) for name in raw])
     samples.manifest(spark).coalesce(1).write.option("header", True).csv(f"{landing}/meta_data")
     control = files.read_manifest(spark, f"{landing}/meta_data")
     prefix = fresh_schema(spark, "ingest") + "_"

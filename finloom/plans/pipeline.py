@@ -7,7 +7,7 @@ reads a stored fact instead of the whole chain.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,13 @@ from finloom.operators.kpis import KPIS, ROLLUP, gl_monthly
 from finloom.operators.mart import FACT_PARTITIONS, mart_layer
 from finloom.operators.silver import silver_layer
 from finloom.schemas import MART, RAW
-from finloom.sinks.tables import ensure_schema, overwrite_table, publish_temp_views, publish_views
+from finloom.sinks.tables import (
+    ensure_schema,
+    overwrite_table,
+    publish_temp_views,
+    publish_views,
+    write_together,
+)
 
 CUBE_TABLE = "fact_integrated_datacube"
 
@@ -28,8 +34,7 @@ CUBE_TABLE = "fact_integrated_datacube"
 def store(spark: SparkSession, layer: Layer, schema: str, table_format: str = "parquet") -> Layer:
     """Write every table of a layer and hand back the stored ones."""
     ensure_schema(spark, schema)
-    for name, df in layer.items():
-        overwrite_table(df, f"{schema}.{name}", table_format)
+    write_together([partial(overwrite_table, df, f"{schema}.{name}", table_format) for name, df in layer.items()])
     return Layer.stored(spark, schema, layer)
 
 
@@ -44,13 +49,17 @@ def build_mart(spark: SparkSession, layout: Layout) -> Layer:
     raw = Layer.stored(spark, layout.raw, RAW)
     clean = store(spark, clean_layer(raw), layout.clean, layout.table_format)
     silver = store(spark, silver_layer(clean), layout.silver, layout.table_format)
-    built = mart_layer(silver)
-    ensure_schema(spark, layout.mart)
-    for name in MART:
-        # fact_gl joins the account dimension as stored, not as a plan to run again
-        source = built if name != "fact_gl" else mart_layer(silver, stored_mart(spark, layout))
-        partitions = FACT_PARTITIONS if name.startswith("fact_") else ()
-        overwrite_table(source[name], f"{layout.mart}.{name}", layout.table_format, partitions)
+    star = mart_layer(silver)
+    store(spark, Layer({n: lambda n=n: star[n] for n in MART if n.startswith("dim_")}), layout.mart, layout.table_format)
+    # the ledger fact joins the account dimension as stored, not as a plan to run again
+    star = mart_layer(silver, stored_mart(spark, layout))
+    facts = [n for n in MART if n.startswith("fact_")]
+    write_together(
+        [
+            partial(overwrite_table, star[n], f"{layout.mart}.{n}", layout.table_format, FACT_PARTITIONS)
+            for n in facts
+        ]
+    )
     return stored_mart(spark, layout)
 
 
@@ -66,16 +75,16 @@ def materialize_kpis(
     The ledger is aggregated once, into a stored monthly rollup that all ledger KPIs read.
     """
     ensure_schema(spark, schema)
-    names = list(names)
     rollup = f"{schema}.{ROLLUP}"
     overwrite_table(gl_monthly(mart["fact_gl"]), rollup, table_format)
     shared = Layer({**{name: lambda name=name: mart[name] for name in MART}, ROLLUP: lambda: spark.table(rollup)})
-    counts = []
-    for name in names:
-        table = f"{schema}.{name}"
-        overwrite_table(KPIS[name].build(shared), table, table_format)
-        counted = spark.table(table).agg(F.count("*").alias("n_rows"))
-        counts.append(counted.select(F.lit(name).alias("kpi"), F.lit(table).alias("table_name"), "n_rows"))
+    tables = {name: f"{schema}.{name}" for name in names}
+    built = {name: KPIS[name].build(shared) for name in names}
+    write_together([partial(overwrite_table, built[name], table, table_format) for name, table in tables.items()])
+    counts = [
+        spark.table(table).agg(F.expr("count(*) AS n_rows")).selectExpr(f"'{name}' AS kpi", f"'{table}' AS table_name", "n_rows")
+        for name, table in tables.items()
+    ]
     return reduce(DataFrame.unionByName, counts)
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+CONCURRENT_WRITES = 8
+
 
 def ensure_schema(spark: SparkSession, schema: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
@@ -22,6 +26,16 @@ def overwrite_table(df: DataFrame, table: str, table_format: str = "parquet", pa
     df.write.mode("overwrite").format(table_format).partitionBy(*partition_by).saveAsTable(table)
 
 
+def write_together(writes: Iterable[Callable[[], None]]) -> None:
+    """Start independent writes at once: the small ones fill executors that the tail of a large one leaves idle.
+
+    The first failure is raised after the running writes have ended.
+    """
+    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+        for done in [pool.submit(inheritable_thread_target(write)) for write in writes]:
+            done.result()
+
+
 def overwrite_partitions(df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions that occur in ``df`` (re-run of one fiscal year).
 

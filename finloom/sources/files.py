@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finloom.schemas import MANIFEST, RAW
-from finloom.sinks.tables import ensure_schema, overwrite_table
+from finloom.sinks.tables import ensure_schema, overwrite_table, write_together
 
 AUDIT_COLUMNS = ("_source_file", "_ingested_at", "_batch_id")
 
@@ -56,12 +58,12 @@ def ingest(
 
     Only the manifest, a handful of rows, is collected. Each load is one distributed read and write.
     """
-    tables = []
+    writes = {}
     for row in manifest.collect():
         schema = schema_prefix + row["sink_schema"]
         ensure_schema(spark, schema)
         frame = read_csv_text(spark, f"{landing}/{row['file_name']}", RAW[row["table_name"]])
         table = f"{schema}.{row['table_name']}"
-        overwrite_table(with_audit(frame, batch_id), table, table_format)
-        tables.append(table)
-    return tables
+        writes[table] = partial(overwrite_table, with_audit(frame, batch_id), table, table_format)
+    write_together(writes.values())
+    return list(writes)
