@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from finloom.layer import Layer
 from finloom.operators import cube, quality
-from finloom.operators.clean import dedup, null_policy, parse_dates, typed
+from finloom.operators.clean import LATEST_BY, clean_table, dedup, null_policy, parse_dates
 from finloom.operators.kpis import KPIS, first_months
 from finloom.operators.mart import FACT_PARTITIONS
 from finloom.plans.layers import mart_of, silver_of
-from finloom.plans.pipeline import materialize_kpis, publish_kpi_views
+from finloom.plans.pipeline import materialize_kpis, publish_kpi_views, store
 from finloom.schemas import CLEAN, KEYS, MART, RAW
 from finloom.scratch import fresh_folder, fresh_schema
 from finloom.sinks.tables import overwrite_table, write_together
@@ -49,7 +49,7 @@ def _on_mart(f: Callable[[Layer], DataFrame]) -> Query:
 
 
 def _clean(raw: Layer, name: str) -> DataFrame:
-    return typed(raw[name], CLEAN[name])
+    return clean_table(raw[name], name)
 
 
 # --- sources and sinks ---------------------------------------------------------------------------------------
@@ -85,7 +85,7 @@ def ingest_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Land all six raw tables as files, load them as the control table says, count what was stored."""
     landing = fresh_folder(spark, "landing")
     raw = samples.raw_layer(spark, folder)
-    write_together([partial(_land, raw, name, landing) for name in raw])
+    write_together(spark, [partial(_land, raw, name, landing) for name in raw])
     samples.manifest(spark).coalesce(1).write.option("header", True).csv(f"{landing}/meta_data")
     control = files.read_manifest(spark, f"{landing}/meta_data")
     prefix = fresh_schema(spark, "ingest") + "_"
@@ -115,8 +115,13 @@ def fact_gl_partition_pruned(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def kpi_tables_materialized(spark: SparkSession, folder: str) -> DataFrame:
+    """All ten KPI tables. The star schema is stored first, so that no KPI parses raw text again; of the ledger
+    only the monthly rollup is."""
+    schema = fresh_schema(spark, "kpis")
     mart = mart_of(samples.raw_layer(spark, folder))
-    return materialize_kpis(spark, mart, fresh_schema(spark, "kpis")).drop("table_name")
+    stored = store(spark, Layer({n: lambda n=n: mart[n] for n in MART if n != "fact_gl"}), schema)
+    whole = Layer({**{n: lambda n=n: stored[n] for n in stored}, "fact_gl": lambda: mart["fact_gl"]})
+    return materialize_kpis(spark, whole, schema).drop("table_name")
 
 
 def kpi_persistent_view(spark: SparkSession, folder: str) -> DataFrame:
@@ -175,7 +180,7 @@ def queries() -> dict[str, Query]:
             lambda raw: null_policy(_clean(raw, "payroll"), ["payroll_id", "employee_id", "pay_date"], ["commission"])
         ),
         "clean_gl_dedup": _on_raw(
-            lambda raw: dedup(_clean(raw, "general_ledgers"), "gl_id", ["posting_date", "entry_date"])
+            lambda raw: dedup(_clean(raw, "general_ledgers"), "gl_id", LATEST_BY["general_ledgers"])
         ),
         "silver_accounts": _on_silver(lambda silver: silver["accounts"]),
         "silver_departments": _on_silver(lambda silver: silver["departments"]),

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from finloom.functions.columns import as_type, lenient_date
 from finloom.layer import Layer
-from finloom.schemas import CLEAN
+from finloom.schemas import CLEAN, KEYS
 
 
 def parse_dates(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -55,6 +55,22 @@ def dedup(df: DataFrame, key: str, latest_by: Sequence[str] = ()) -> DataFrame:
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def clean_layer(raw: Layer) -> Layer:
-    """The six clean tables: dates parsed, types declared."""
-    return Layer({name: lambda name=name: typed(raw[name], CLEAN[name]) for name in CLEAN})
+# Fixed choice: of several rows with one key the one dated last is the current one.
+LATEST_BY = {"general_ledgers": ("posting_date", "entry_date"), "payroll": ("pay_date",), "employee": ("hire_date",)}
+
+
+def clean_table(raw: DataFrame, table: str, one_row_per_key: bool = False) -> DataFrame:
+    """A raw table with dates parsed and types declared; on request without NULL keys and repeated keys."""
+    clean = typed(raw, CLEAN[table])
+    if one_row_per_key:
+        clean = dedup(kept(null_policy(clean, [KEYS[table]])), KEYS[table], LATEST_BY.get(table, ()))
+    return clean
+
+
+def clean_layer(raw: Layer, one_row_per_key: bool = False) -> Layer:
+    """The six clean tables.
+
+    Rows are kept as they came by default. ``one_row_per_key`` turns on the null policy and the deduplication,
+    which gives every dimension the unique key the joins downstream assume.
+    """
+    return Layer({name: lambda name=name: clean_table(raw[name], name, one_row_per_key) for name in CLEAN})

@@ -13,14 +13,15 @@ from finloom.functions.columns import as_type, named
 
 
 def null_counts(raw: DataFrame, schema: T.StructType, table: str) -> DataFrame:
-    """Per column: rows, rows NULL after cleaning, and how many of those had text that did not parse."""
+    """Per column: rows, rows NULL after cleaning, and how many of those had text that did not parse.
+
+    A value that parsed came from text that is there, so plain counts of values and of texts give all three.
+    """
 
     def of_column(field: T.StructField) -> str:
-        value = as_type(field.name, field.dataType)
-        return (
-            f"struct('{field.name}' AS column_name, count_if({value} IS NULL) AS n_null, "
-            f"count_if({value} IS NULL AND {field.name} <> '') AS n_unparsed)"
-        )
+        known = f"count({as_type(field.name, field.dataType)})"
+        unparsed = "0L" if isinstance(field.dataType, T.StringType) else f"count(nullif({field.name}, '')) - {known}"
+        return f"struct('{field.name}' AS column_name, count(*) - {known} AS n_null, {unparsed} AS n_unparsed)"
 
     columns = ", ".join(of_column(f) for f in schema.fields)
     counted = raw.agg(F.expr("count(*) AS n_rows"), F.expr(f"array({columns}) AS columns"))
@@ -37,17 +38,23 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 def orphans(fact: DataFrame, name: str, references: Mapping[str, DataFrame]) -> DataFrame:
     """Foreign key values without a dimension row, with the fact rows that carry them.
 
-    ``references`` maps a fact column to the dimension that has it as key. The fact is read once for all its
-    foreign keys and counted per key value before the anti join, so hot keys are gone when rows move.
+    ``references`` maps a fact column to the dimension that has it as key. The fact is read once, with one
+    grouping set per foreign key: rows are counted per key value before any of them moves, so hot keys are gone
+    by the shuffle and the anti join.
     """
-    pairs = ", ".join(f"struct('{fk}' AS foreign_key, CAST({fk} AS STRING) AS key_value)" for fk in references)
-    used = (
-        fact.selectExpr(f"inline(array({pairs}))")
-        .filter("key_value IS NOT NULL")
-        .groupBy("foreign_key", "key_value")
-        .agg(F.expr("count(*) AS n_rows"))
+    keys = list(references)
+    per_value = fact.groupingSets([[fk] for fk in keys], *keys).agg(
+        *named(n_rows="count(*)", **{f"_without_{fk}": f"grouping({fk})" for fk in keys})
     )
-    known = [d.selectExpr(f"'{fk}' AS foreign_key", f"CAST({fk} AS STRING) AS key_value") for fk, d in references.items()]
+    which = " ".join(f"WHEN _without_{fk} = 0 THEN '{fk}'" for fk in keys)
+    value = ", ".join(f"CAST({fk} AS STRING)" for fk in keys)
+    used = per_value.selectExpr(
+        f"CASE {which} END AS foreign_key", f"coalesce({value}, CAST(NULL AS STRING)) AS key_value", "n_rows"
+    ).filter("key_value IS NOT NULL")
+    known = [
+        dimension.selectExpr(f"'{fk}' AS foreign_key", f"CAST({fk} AS STRING) AS key_value")
+        for fk, dimension in references.items()
+    ]
     missing = used.join(reduce(DataFrame.unionByName, known), ["foreign_key", "key_value"], "left_anti")
     return missing.selectExpr(f"'{name}' AS fact_name", "foreign_key", "key_value", "n_rows")
 

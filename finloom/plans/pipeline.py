@@ -34,7 +34,8 @@ CUBE_TABLE = "fact_integrated_datacube"
 def store(spark: SparkSession, layer: Layer, schema: str, table_format: str = "parquet") -> Layer:
     """Write every table of a layer and hand back the stored ones."""
     ensure_schema(spark, schema)
-    write_together([partial(overwrite_table, df, f"{schema}.{name}", table_format) for name, df in layer.items()])
+    writes = [partial(overwrite_table, df, f"{schema}.{name}", table_format) for name, df in layer.items()]
+    write_together(spark, writes)
     return Layer.stored(spark, schema, layer)
 
 
@@ -44,21 +45,23 @@ def stored_mart(spark: SparkSession, layout: Layout) -> Layer:
     return Layer({name: lambda name=name: tables[name].select(*MART[name].names) for name in MART})
 
 
-def build_mart(spark: SparkSession, layout: Layout) -> Layer:
+def build_mart(spark: SparkSession, layout: Layout, one_row_per_key: bool = False) -> Layer:
     """Raw tables -> clean -> silver -> star schema, each layer stored."""
     raw = Layer.stored(spark, layout.raw, RAW)
-    clean = store(spark, clean_layer(raw), layout.clean, layout.table_format)
+    clean = store(spark, clean_layer(raw, one_row_per_key), layout.clean, layout.table_format)
     silver = store(spark, silver_layer(clean), layout.silver, layout.table_format)
     star = mart_layer(silver)
-    store(spark, Layer({n: lambda n=n: star[n] for n in MART if n.startswith("dim_")}), layout.mart, layout.table_format)
+    dimensions = Layer({n: lambda n=n: star[n] for n in MART if n.startswith("dim_")})
+    store(spark, dimensions, layout.mart, layout.table_format)
     # the ledger fact joins the account dimension as stored, not as a plan to run again
     star = mart_layer(silver, stored_mart(spark, layout))
     facts = [n for n in MART if n.startswith("fact_")]
     write_together(
+        spark,
         [
             partial(overwrite_table, star[n], f"{layout.mart}.{n}", layout.table_format, FACT_PARTITIONS)
             for n in facts
-        ]
+        ],
     )
     return stored_mart(spark, layout)
 
@@ -80,9 +83,12 @@ def materialize_kpis(
     shared = Layer({**{name: lambda name=name: mart[name] for name in MART}, ROLLUP: lambda: spark.table(rollup)})
     tables = {name: f"{schema}.{name}" for name in names}
     built = {name: KPIS[name].build(shared) for name in names}
-    write_together([partial(overwrite_table, built[name], table, table_format) for name, table in tables.items()])
+    writes = [partial(overwrite_table, built[name], table, table_format) for name, table in tables.items()]
+    write_together(spark, writes)
     counts = [
-        spark.table(table).agg(F.expr("count(*) AS n_rows")).selectExpr(f"'{name}' AS kpi", f"'{table}' AS table_name", "n_rows")
+        spark.table(table)
+        .agg(F.expr("count(*) AS n_rows"))
+        .selectExpr(f"'{name}' AS kpi", f"'{table}' AS table_name", "n_rows")
         for name, table in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
@@ -110,9 +116,9 @@ def build_cube(spark: SparkSession, mart: Layer, layout: Layout) -> DataFrame:
     return spark.table(table)
 
 
-def run(spark: SparkSession, layout: Layout = Layout()) -> DataFrame:  # noqa: B008
+def run(spark: SparkSession, layout: Layout = Layout(), one_row_per_key: bool = False) -> DataFrame:  # noqa: B008
     """The whole pipeline over stored raw tables; returns the KPI status rows."""
-    mart = build_mart(spark, layout)
+    mart = build_mart(spark, layout, one_row_per_key)
     status = materialize_kpis(spark, mart, layout.mart, table_format=layout.table_format)
     publish_kpi_views(spark, layout.mart, layout.curated)
     build_cube(spark, mart, layout)

@@ -8,20 +8,22 @@ import uuid
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the session.
 
-    A local session without the setting gets a temporary folder; a cluster without it is refused, since a
-    folder of the driver's machine would be lost on the executors.
+    A local session without the setting gets one temporary folder per application; a cluster without it is
+    refused, since a folder of the driver's machine would be lost on the executors.
     """
     root = spark.conf.get(_SETTING, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="finloom-")
-        spark.conf.set(_SETTING, root)
+        application = spark.sparkContext.applicationId
+        root = _local_roots.setdefault(application, "") or tempfile.mkdtemp(prefix="finloom-")
+        _local_roots[application] = root
     return root.rstrip("/")
 
 

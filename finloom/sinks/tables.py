@@ -26,13 +26,13 @@ def overwrite_table(df: DataFrame, table: str, table_format: str = "parquet", pa
     df.write.mode("overwrite").format(table_format).partitionBy(*partition_by).saveAsTable(table)
 
 
-def write_together(writes: Iterable[Callable[[], None]]) -> None:
+def write_together(spark: SparkSession, writes: Iterable[Callable[[], None]]) -> None:
     """Start independent writes at once: the small ones fill executors that the tail of a large one leaves idle.
 
     The first failure is raised after the running writes have ended.
     """
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
-        for done in [pool.submit(inheritable_thread_target(write)) for write in writes]:
+        for done in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
             done.result()
 
 

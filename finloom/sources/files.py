@@ -65,5 +65,5 @@ def ingest(
         frame = read_csv_text(spark, f"{landing}/{row['file_name']}", RAW[row["table_name"]])
         table = f"{schema}.{row['table_name']}"
         writes[table] = partial(overwrite_table, with_audit(frame, batch_id), table, table_format)
-    write_together(writes.values())
+    write_together(spark, writes.values())
     return list(writes)

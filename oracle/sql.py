@@ -211,7 +211,8 @@ _MART = {
         select employee_id, FullName, email, department_id, company_id, position, hire_date, termination_date,
                base_salary, is_active
         from silver_employee""",
-    "dim_company": "select company_id, company_name, industry, country, established_date, is_active from silver_company",
+    "dim_company": """
+        select company_id, company_name, industry, country, established_date, is_active from silver_company""",
     "fact_gl": """
         select l.*, a.pl_section, a.opex_category, a.account_type, a.account_name
         from silver_general_ledgers l left join dim_account a using (account_id)

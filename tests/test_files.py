@@ -57,3 +57,17 @@ def test_ingest_follows_the_control_table(spark, tmp_path):
 
 def test_scratch_follows_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_cluster_without_shared_folder_is_refused():
+    class Session:
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+        class sparkContext:
+            master = "spark://somewhere:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(Session)

@@ -10,10 +10,10 @@ from finloom.functions.columns import as_type, fiscal_month_label, lenient_date
 from finloom.functions.money import percentage, quotient
 from finloom.layer import Layer
 from finloom.operators import cube, quality, silver
-from finloom.operators.clean import dedup, kept, null_policy, parse_dates, rejected, typed
+from finloom.operators.clean import clean_table, dedup, kept, null_policy, parse_dates, rejected, typed
 from finloom.operators.kpis import KPIS, first_months
 from finloom.operators.mart import dim_account, fact_gl
-from finloom.schemas import CLEAN, MART, SILVER
+from finloom.schemas import CLEAN, MART, RAW, SILVER
 
 D = Decimal
 DAY = datetime.date(2024, 1, 15)
@@ -51,7 +51,8 @@ def test_date_texts(spark):
 
 
 def test_length_guard_changes_nothing(spark):
-    texts = [f"{d}-{m}-{y} {t}" for d in ("1", "07", "31") for m in ("2", "12") for y in ("10", "2010") for t in ("", "1:5", "09:30")]
+    days, months, years, times = ("1", "07", "31"), ("2", "12"), ("10", "2010"), ("", "1:5", "09:30")
+    texts = [f"{d}-{m}-{y} {t}" for d in days for m in months for y in years for t in times]
     assert values(spark, "string", texts, lenient_date("x")) == values(
         spark, "string", texts, "try_to_date(x, 'dd-MM-yyyy HH:mm')"
     )
@@ -135,7 +136,8 @@ def test_orphan_account_is_not_balance_sheet(spark):
 
 def test_parse_dates_leaves_other_columns(spark):
     df = spark.createDataFrame(
-        [("1", "15-03-2010 09:30", "x", "100")], "employee_id string, hire_date string, termination_date string, base_salary string"
+        [("1", "15-03-2010 09:30", "x", "100")],
+        "employee_id string, hire_date string, termination_date string, base_salary string",
     )
     assert parse_dates(df, CLEAN["employee"]).first().asDict() == {
         "employee_id": "1",
@@ -179,6 +181,19 @@ def test_dedup_exact_and_by_key(spark):
     assert {tuple(r) for r in dedup(df, "k", ["d"]).collect()} == expected
 
 
+def test_one_row_per_key(spark):
+    raw = rows_of(
+        spark,
+        RAW["departments"],
+        {"department_id": "1", "department_name": "B"},
+        {"department_id": "1", "department_name": "A"},
+        {"department_id": "x", "department_name": "C"},
+    )
+    names = [r["department_name"] for r in clean_table(raw, "departments", one_row_per_key=True).collect()]
+    assert names == ["A"]
+    assert clean_table(raw, "departments").count() == 3
+
+
 # --- silver --------------------------------------------------------------------------------------------------
 
 
@@ -241,12 +256,14 @@ def star(spark, lines=(), pay=(), people=(), companies=(1, 2), departments=(1, 2
     tables = {
         "dim_account": [],
         "dim_company": [{"company_id": c, "company_name": f"C{c}"} for c in companies],
-        "dim_departments": [{"department_id": d, "department_name": f"D{d}", "cost_center": f"CC{d}"} for d in departments],
+        "dim_departments": [
+            {"department_id": d, "department_name": f"D{d}", "cost_center": f"CC{d}"} for d in departments
+        ],
         "dim_employee": people,
         "fact_gl": lines,
         "fact_payroll": pay,
     }
-    return Layer({name: lambda name=name, rows=rows: rows_of(spark, MART[name], *rows) for name, rows in tables.items()})
+    return Layer({n: lambda n=n, rows=rows: rows_of(spark, MART[n], *rows) for n, rows in tables.items()})
 
 
 def kpi(mart, number):
@@ -266,7 +283,8 @@ def test_growth_compares_with_the_previous_row(spark):
             line("COGS", 1, credit="500"),
         ],
     )
-    found = [(r["fiscal_month_label"], r["total_revenue"], r["prev_month_revenue"], r["mom_growth_pct"]) for r in kpi(mart, 1)]
+    columns = ("fiscal_month_label", "total_revenue", "prev_month_revenue", "mom_growth_pct")
+    found = [tuple(r[c] for c in columns) for r in kpi(mart, 1)]
     assert found == [
         ("2023-11", D(100), None, None),
         ("2024-02", D(150), D(100), D(50)),
@@ -281,8 +299,10 @@ def test_unknown_company_drops_out(spark):
 
 
 def test_margin_without_revenue_is_null(spark):
-    mart = star(spark, [line("COGS", 1, debit="5"), line("Revenue", 2, credit="8"), line("COGS", 2, debit="2"), line("Tax", 3, debit="1")])
-    found = [(r["fiscal_period"], r["revenue"], r["gross_profit"], r["gross_profit_margin_pct"]) for r in kpi(mart, 3)]
+    lines = [line("COGS", 1, debit="5"), line("Revenue", 2, credit="8"), line("COGS", 2, debit="2")]
+    mart = star(spark, [*lines, line("Tax", 3, debit="1")])
+    columns = ("fiscal_period", "revenue", "gross_profit", "gross_profit_margin_pct")
+    found = [tuple(r[c] for c in columns) for r in kpi(mart, 3)]
     assert found == [(1, D(0), D(-5), None), (2, D(8), D(6), D(75))]
 
 
@@ -310,7 +330,8 @@ def test_net_profit_keeps_months_without_pl_lines(spark):
             line("Tax", 3, debit="10"),
         ],
     )
-    found = [(r["fiscal_period"], r["revenue"], r["ebit"], r["net_profit"], r["net_profit_margin_pct"]) for r in kpi(mart, 6)]
+    columns = ("fiscal_period", "revenue", "ebit", "net_profit", "net_profit_margin_pct")
+    found = [tuple(r[c] for c in columns) for r in kpi(mart, 6)]
     assert found == [(1, D(0), D(0), D(0), None), (2, D(0), D(0), D(0), None), (3, D(100), D(50), D(40), D(40))]
 
 
@@ -345,27 +366,38 @@ def test_position_averages_use_payroll_company_and_skip_nulls(spark):
         pay_row(6, 99),  # unknown employee
         pay_row(7, 1, company=9),  # unknown company
     ]
-    found = [(r["company_id"], r["position"], r["employee_count"], r["avg_total_compensation"]) for r in kpi(star(spark, pay=pay, people=people), 5)]
+    columns = ("company_id", "position", "employee_count", "avg_total_compensation")
+    found = [tuple(r[c] for c in columns) for r in kpi(star(spark, pay=pay, people=people), 5)]
     assert found == [(1, None, 1, None), (1, "Senior", 2, D("133.67"))]
 
 
 def test_department_ratios(spark):
     pay = [pay_row(1, 1, gross="0"), pay_row(2, 2, department=2, gross="200"), pay_row(3, 2, department=9)]
-    found = [(r["department_id"], r["overtime_to_base_ratio_pct"], r["bonus_to_base_ratio_pct"]) for r in kpi(star(spark, pay=pay), 7)]
+    columns = ("department_id", "overtime_to_base_ratio_pct", "bonus_to_base_ratio_pct")
+    found = [tuple(r[c] for c in columns) for r in kpi(star(spark, pay=pay), 7)]
     assert found == [(1, None, None), (2, D("2.50"), D("5.00"))]
 
 
 def test_cost_per_employee(spark):
-    pay = [pay_row(1, 1, total="100"), pay_row(2, 1, total="50"), pay_row(3, 2, total="50"), pay_row(4, 2, department=2, total=None)]
-    found = {r["department_id"]: (r["employee_count"], r["cost_per_employee"], r["cost_center"]) for r in kpi(star(spark, pay=pay), 8)}
+    pay = [pay_row(1, 1, total="100"), pay_row(2, 1, total="50"), pay_row(3, 2, total="50")]
+    pay.append(pay_row(4, 2, department=2, total=None))
+    rows = kpi(star(spark, pay=pay), 8)
+    found = {r["department_id"]: (r["employee_count"], r["cost_per_employee"], r["cost_center"]) for r in rows}
     assert found == {1: (2, D(100), "CC1"), 2: (1, None, "CC2")}
 
 
 def test_headcount_counts_active_only(spark):
     def person(i, position, active, salary):
-        return {"employee_id": i, "company_id": 1, "department_id": 1, "position": position, "is_active": active, "base_salary": salary}
+        home = {"company_id": 1, "department_id": 1}
+        return {"employee_id": i, "position": position, "is_active": active, "base_salary": salary, **home}
 
-    people = [person(1, "Junior", True, D("10.00")), person(2, "Manager", True, D("10.01")), person(3, "Senior", False, D(9)), person(4, None, True, None), person(5, "Senior", None, D(1))]
+    people = [
+        person(1, "Junior", True, D("10.00")),
+        person(2, "Manager", True, D("10.01")),
+        person(3, "Senior", False, D(9)),
+        person(4, None, True, None),
+        person(5, "Senior", None, D(1)),
+    ]
     row = kpi(star(spark, people=people), 9)[0]
     assert (row["active_headcount"], row["junior_count"], row["senior_count"], row["manager_count"]) == (3, 1, 0, 1)
     assert (row["avg_base_salary"], row["total_annual_base_cost"]) == (D("10.01"), D("20.01"))
@@ -377,7 +409,8 @@ def test_payroll_share_needs_both_sides(spark):
         [line("Revenue", 1, credit="400"), line("Revenue", 2, credit="400"), line("Revenue", 4, credit="0")],
         [pay_row(1, 1, total="100"), pay_row(2, 2, total="20"), pay_row(3, 1, month=3), pay_row(4, 1, month=4)],
     )
-    found = [(r["fiscal_period"], r["headcount"], r["payroll_pct_of_revenue"], r["revenue_per_employee"]) for r in kpi(mart, 10)]
+    columns = ("fiscal_period", "headcount", "payroll_pct_of_revenue", "revenue_per_employee")
+    found = [tuple(r[c] for c in columns) for r in kpi(mart, 10)]
     assert found == [(1, 2, D(30), D(200)), (4, 1, None, D(0))]
 
 
@@ -391,7 +424,8 @@ def test_first_months_breaks_ties_by_company(spark):
 
 
 def test_cube_takes_keys_from_dimensions(spark):
-    mart = star(spark, [{**line("Revenue", 1, company=9, credit="7"), "department_id": 1, "account_id": 4000}], [pay_row(1, 99, department=9)])
+    stray = {**line("Revenue", 1, company=9, credit="7"), "department_id": 1, "account_id": 4000}
+    mart = star(spark, [stray], [pay_row(1, 99, department=9)])
     rows = {r["source_fact"]: r for r in cube.integrated_cube(mart).collect()}
     ledger, pay = rows[cube.GENERAL_LEDGER], rows[cube.PAYROLL]
     assert (ledger["company_id"], ledger["department_id"], ledger["account_id"]) == (None, 1, None)
@@ -428,7 +462,8 @@ def test_sample_falls_over_to_payroll(spark):
 def test_null_counts_tell_missing_from_unparsed(spark):
     schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("d", T.DateType())])
     raw = spark.createDataFrame([("1", "15-03-2010"), ("x", ""), (None, None)], "a string, d string")
-    found = {r["column_name"]: (r["n_rows"], r["n_null"], r["n_unparsed"]) for r in quality.null_counts(raw, schema, "t").collect()}
+    rows = quality.null_counts(raw, schema, "t").collect()
+    found = {r["column_name"]: (r["n_rows"], r["n_null"], r["n_unparsed"]) for r in rows}
     assert found == {"a": (3, 2, 1), "d": (3, 3, 1)}
 
 

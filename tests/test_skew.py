@@ -4,13 +4,17 @@ from collections import defaultdict
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from finloom.functions.columns import conform
 from finloom.layer import Layer
 from finloom.operators.clean import dedup
 from finloom.operators.cube import payroll_branch
 from finloom.operators.kpis import KPIS
 from finloom.operators.quality import duplicate_keys, orphans
 from finloom.schemas import MART
+from finloom.scratch import fresh_schema
+from finloom.sinks.tables import overwrite_table
 
 N = 30_000
 
@@ -24,16 +28,16 @@ def hot(spark):
         "CAST(k % 5 + 1 AS INT) AS department_id", "2024 AS fiscal_year", "CAST(id % 12 + 1 AS INT) AS fiscal_period",
         "CAST(id % 1000 AS DECIMAL(18,2)) AS total_compensation", "CAST(id % 100 AS DECIMAL(18,2)) AS gross_salary",
     )
-    people = spark.range(997).selectExpr("id AS employee_id", "CASE WHEN id % 2 = 0 THEN 'Senior' ELSE 'Junior' END AS position")
+    people = spark.range(997).selectExpr(
+        "id AS employee_id", "CASE WHEN id % 2 = 0 THEN 'Senior' ELSE 'Junior' END AS position"
+    )
     companies = spark.range(1, 5).selectExpr("CAST(id AS INT) AS company_id", "concat('C', id) AS company_name")
-    departments = spark.range(1, 6).selectExpr("CAST(id AS INT) AS department_id", "concat('D', id) AS department_name", "'x' AS cost_center")
-
-    def padded(df, name):
-        missing = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in MART[name].fields if f.name not in df.columns]
-        return df.selectExpr("*", *missing).select(*MART[name].names)
+    departments = spark.range(1, 6).selectExpr(
+        "CAST(id AS INT) AS department_id", "concat('D', id) AS department_name", "'x' AS cost_center"
+    )
 
     tables = {"fact_payroll": pay, "dim_employee": people, "dim_company": companies, "dim_departments": departments}
-    frames = {name: padded(df, name) for name, df in tables.items()}
+    frames = {name: conform(df, MART[name]) for name, df in tables.items()}
     return Layer({name: lambda df=df: df for name, df in frames.items()})
 
 
@@ -84,7 +88,9 @@ def test_hot_employee_join_keeps_every_row(spark, hot):
 
 
 def test_hot_key_dedup(spark):
-    df = spark.range(N).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id % 997 END AS k", "id AS v", "CAST(id % 2 AS STRING) AS t")
+    df = spark.range(N).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 0 ELSE id % 997 END AS k", "id AS v", "CAST(id % 2 AS STRING) AS t"
+    )
     expected = defaultdict(int)
     for i, k in rows():
         expected[k] = max(expected[k], i)
@@ -96,3 +102,27 @@ def test_hot_orphan(spark):
     fact = spark.range(N).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id % 10 END AS k")
     dim = spark.range(10).withColumnRenamed("id", "k")
     assert [tuple(r) for r in orphans(fact, "f", {"k": dim}).collect()] == [("f", "k", "-1", N // 3)]
+
+
+def test_hot_partition_is_written_by_several_tasks(spark):
+    """One year and company with a third of the rows becomes several files, none of the rows is lost."""
+    wide = spark.range(N).selectExpr(
+        "id", "sha2(CAST(id AS STRING), 512) AS text", "CASE WHEN id % 3 = 0 THEN 2024 ELSE 1900 + id % 50 END AS y"
+    )
+    table = f"{fresh_schema(spark, 'hot')}.t"
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        overwrite_table(wide, table, partition_by=["y"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored = spark.table(table)
+    assert stored.count() == N
+    files = stored.filter("y = 2024").select(F.col("_metadata.file_path")).distinct().count()
+    assert files > 3
+
+
+def test_null_keys_are_no_orphans(spark):
+    fact = spark.createDataFrame([(None, 1), (1, None), (None, None)], "a int, b int")
+    nothing = spark.createDataFrame([], "a int, b int")
+    found = {tuple(r)[1:] for r in orphans(fact, "f", {"a": nothing, "b": nothing}).collect()}
+    assert found == {("a", "1", 1), ("b", "1", 1)}
