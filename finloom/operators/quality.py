@@ -40,7 +40,7 @@ def orphans(fact: DataFrame, name: str, references: Mapping[str, DataFrame]) ->
 
     ``references`` maps a fact column to the dimension that has it as key. The fact is read once, with one
     grouping set per foreign key: rows are counted per key value before any of them moves, so hot keys are gone
-    by the shuffle and the anti join.
+    by the shuffle and the join.
     """
     keys = list(references)
     per_value = fact.groupingSets([[fk] for fk in keys], *keys).agg(
@@ -52,10 +52,13 @@ def orphans(fact: DataFrame, name: str, references: Mapping[str, DataFrame]) ->
         f"CASE {which} END AS foreign_key", f"coalesce({value}, CAST(NULL AS STRING)) AS key_value", "n_rows"
     ).filter("key_value IS NOT NULL")
     known = [
-        dimension.selectExpr(f"'{fk}' AS foreign_key", f"CAST({fk} AS STRING) AS key_value")
+        dimension.selectExpr(f"'{fk}' AS foreign_key", f"CAST({fk} AS STRING) AS key_value", "true AS known")
         for fk, dimension in references.items()
     ]
-    missing = used.join(reduce(DataFrame.unionByName, known), ["foreign_key", "key_value"], "left_anti")
+    # An outer join rather than an anti join: Spark moves a broadcast anti join below the count, back onto the
+    # fact rows.
+    looked_up = used.join(reduce(DataFrame.unionByName, known), ["foreign_key", "key_value"], "left")
+    missing = looked_up.filter("known IS NULL")
     return missing.selectExpr(f"'{name}' AS fact_name", "foreign_key", "key_value", "n_rows")
 
 
