@@ -11,6 +11,10 @@ SMALL_CHECKED = sorted(registry.queries())
 MEDIUM_CHECKED = [*KPIS, *MART, "datacube_profile", "datacube_sample", "dq_orphans", "dq_reconcile", "clean_gl_dedup"]
 
 
+# The DuckDB name of each Spark type in use; decimals go by the same name in both.
+SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "date": "DATE", "boolean": "BOOLEAN"}
+
+
 @pytest.fixture(scope="module")
 def small_sql(small):
     return connect(small)
@@ -27,7 +31,10 @@ def test_every_query_has_a_check():
 
 @pytest.mark.parametrize("name", SMALL_CHECKED)
 def test_small(spark, small, small_sql, name):
-    assert difference(registry.queries()[name](spark, small), small_sql, registry.oracle_sql()[name]) is None
+    result, sql = registry.queries()[name](spark, small), registry.oracle_sql()[name]
+    assert difference(result, small_sql, sql) is None
+    described = {row[0]: row[1] for row in small_sql.execute(f"DESCRIBE {sql}").fetchall()}
+    assert {c: SQL_TYPES.get(t, t.upper()) for c, t in result.dtypes} == described
 
 
 @pytest.mark.parametrize("name", MEDIUM_CHECKED)

@@ -15,6 +15,7 @@ from finloom.operators.quality import duplicate_keys, orphans
 from finloom.schemas import MART
 from finloom.scratch import fresh_schema
 from finloom.sinks.tables import overwrite_table
+from plans import plan
 
 N = 30_000
 
@@ -73,18 +74,28 @@ def test_hot_department_cost(hot):
     assert found == {k: (Decimal(sums[k]), len(heads[k])) for k in sums}
 
 
-def test_hot_employee_join_keeps_every_row(spark, hot):
-    """The workforce join with broadcasting off: skewed partitions are split, no row is lost or repeated."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1KB")
+def test_hot_employee_join_is_split_and_keeps_every_row(spark, hot):
+    """The workforce join without broadcast: the hot employee's partition is read by several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
-        built = payroll_branch(hot)
-        assert built.count() == N
-        assert built.select("transaction_id").distinct().count() == N
-        assert built.filter("employee_id IS NULL").count() == 0
+        built = payroll_branch(hot, ["transaction_id", "employee_id", "employee_position"])
+        rows_out = built.collect()
+        text = plan(built)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
+        for name in settings:
+            spark.conf.unset(name)
+    assert "SortMergeJoin(skew=true)" in text
+    expected = {i: (k, "Senior" if k % 2 == 0 else "Junior") for i, k in rows()}
+    assert len(rows_out) == N
+    assert {r["transaction_id"]: (r["employee_id"], r["employee_position"]) for r in rows_out} == expected
 
 
 def test_hot_key_dedup(spark):
