@@ -2,8 +2,9 @@
 
 The ledger KPIs read a monthly rollup (month x company x section x category) instead of ledger lines. Sums of
 sums are exact in decimal, so the rollup can be stored once and shared; composed lazily it adds one shuffle of
-pre-aggregated rows. Dimensions are joined after aggregating: their keys are unique (see the key check in
-``quality``), and the rows left to join are few whatever the facts hold.
+pre-aggregated rows and takes two sums per ledger line, however many a KPI needs. Dimensions are joined after
+aggregating: their keys are unique (see the key check in ``quality``), and the rows left to join are few whatever
+the facts hold.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ def gl_monthly(fact_gl: DataFrame) -> DataFrame:
 
 
 def _rollup(mart: Layer, *sections: str) -> DataFrame:
-    """The monthly rollup, of the given sections or of all."""
+    """The monthly rollup, stored or not, of the given sections or of all."""
     monthly = mart[ROLLUP] if ROLLUP in mart else gl_monthly(mart["fact_gl"])
     wanted = ", ".join(f"'{section}'" for section in sections)
     return monthly.filter(f"pl_section IN ({wanted})") if sections else monthly
@@ -319,6 +320,7 @@ def payroll_cost_pct_revenue(mart: Layer) -> DataFrame:
 class Kpi(NamedTuple):
     view: str
     build: Callable[[Layer], DataFrame]
+    of_ledger: bool = True
 
 
 # Table and view name of each KPI.
@@ -327,11 +329,13 @@ KPIS: dict[str, Kpi] = {
     "kpi2_cost_of_sales_by_month": Kpi("vw_cost_of_sales_by_month", cost_of_sales_by_month),
     "kpi3_gross_profit_margin": Kpi("vw_gross_profit_margin", gross_profit_margin),
     "kpi4_opex_breakdown": Kpi("vw_opex_breakdown", opex_breakdown),
-    "kpi5_avg_compensation_by_position": Kpi("vw_avg_compensation_by_position", avg_compensation_by_position),
+    "kpi5_avg_compensation_by_position": Kpi(
+        "vw_avg_compensation_by_position", avg_compensation_by_position, of_ledger=False
+    ),
     "kpi6_net_profit_by_month": Kpi("vw_net_profit_by_month", net_profit_by_month),
-    "kpi7_overtime_bonus_analysis": Kpi("vw_overtime_bonus_analysis", overtime_bonus_analysis),
-    "kpi8_cost_per_department": Kpi("vw_cost_per_department", cost_per_department),
-    "kpi9_headcount_by_department": Kpi("vw_headcount_by_department", headcount_by_department),
+    "kpi7_overtime_bonus_analysis": Kpi("vw_overtime_bonus_analysis", overtime_bonus_analysis, of_ledger=False),
+    "kpi8_cost_per_department": Kpi("vw_cost_per_department", cost_per_department, of_ledger=False),
+    "kpi9_headcount_by_department": Kpi("vw_headcount_by_department", headcount_by_department, of_ledger=False),
     "kpi10_payroll_cost_pct_revenue": Kpi("vw_payroll_cost_pct_revenue", payroll_cost_pct_revenue),
 }
 

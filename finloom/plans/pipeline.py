@@ -78,9 +78,13 @@ def materialize_kpis(
     The ledger is aggregated once, into a stored monthly rollup that all ledger KPIs read.
     """
     ensure_schema(spark, schema)
-    rollup = f"{schema}.{ROLLUP}"
-    overwrite_table(gl_monthly(mart["fact_gl"]), rollup, table_format)
-    shared = Layer({**{name: lambda name=name: mart[name] for name in MART}, ROLLUP: lambda: spark.table(rollup)})
+    names = list(names)
+    tables_of = {name: lambda name=name: mart[name] for name in MART}
+    if any(KPIS[name].of_ledger for name in names):
+        rollup = f"{schema}.{ROLLUP}"
+        overwrite_table(gl_monthly(mart["fact_gl"]), rollup, table_format)
+        tables_of[ROLLUP] = lambda: spark.table(rollup)
+    shared = Layer(tables_of)
     tables = {name: f"{schema}.{name}" for name in names}
     built = {name: KPIS[name].build(shared) for name in names}
     writes = [partial(overwrite_table, built[name], table, table_format) for name, table in tables.items()]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from compare import connect, difference
 from finloom.config import Layout
-from finloom.operators.kpis import KPIS, gl_monthly
+from finloom.operators.kpis import KPIS, ROLLUP, gl_monthly
 from finloom.operators.mart import FACT_PARTITIONS
 from finloom.plans import pipeline
 from finloom.plans.layers import mart_of, silver_of
@@ -142,3 +142,11 @@ def test_one_row_per_key_run(spark, stored, small):
     assert fact.count() == fact.select("gl_id").distinct().count()
     expected = connect(small).execute(f"select count(*) from ({QUERIES['clean_gl_dedup']})").fetchall()[0][0]
     assert spark.table(f"{layout.silver}.general_ledgers").count() == expected
+
+
+def test_rollup_is_stored_for_ledger_kpis_only(spark, mart):
+    for name in ("kpi9_headcount_by_department", "kpi2_cost_of_sales_by_month"):
+        schema = fresh_schema(spark, "some")
+        status = pipeline.materialize_kpis(spark, mart, schema, [name]).collect()
+        assert [r["kpi"] for r in status] == [name]
+        assert spark.catalog.tableExists(f"{schema}.{ROLLUP}") == KPIS[name].of_ledger
