@@ -6,6 +6,7 @@ landing write to a fresh place under the session's shared folder and return what
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 from functools import partial
 
@@ -162,7 +163,7 @@ def dq_reconcile(raw: Layer) -> DataFrame:
     return of("general_ledgers", "fact_gl", unposted).unionByName(of("payroll", "fact_payroll", nothing))
 
 
-def queries() -> dict[str, Query]:
+def reference_queries() -> dict[str, Query]:
     registered: dict[str, Query] = {
         "scan_accounts": scan_accounts,
         "csv_landing": csv_landing,
@@ -203,5 +204,21 @@ def queries() -> dict[str, Query]:
     return registered
 
 
+def _optional() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and check SQL of the corpus subpackage, none where it is not installed."""
+    specs = [importlib.util.find_spec("finloom.llm"), importlib.util.find_spec("corpus_pipeline")]
+    if any(s is None or s.origin is None for s in specs):
+        return {}, {}
+    import corpus_pipeline
+    from finloom.llm import queries as llm
+    from finloom.llm import sql
+
+    return {"pipeline": corpus_pipeline.run, **llm.queries()}, dict(sql.QUERIES)
+
+
+def queries() -> dict[str, Query]:
+    return {**reference_queries(), **_optional()[0]}
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(QUERIES)
+    return {**QUERIES, **_optional()[1]}
