@@ -8,11 +8,13 @@ ordinary texts stays on the scale the threshold refers to. PRIOR documents of sm
 
 1. One scan gives each document a digest of its words and BANDS * ROWS consistent weighted samples (r, c ~ Gamma(2, 1),
    beta ~ U(0, 1) drawn from hash-indexed tables). Documents of equal digests become one text before anything pairs.
-2. Texts that agree in all samples of a band share a bucket. Each bucket links its texts to one hub, not to each other;
-   links are verified by the exact weighted Jaccard similarity of both whole texts. Verified links are merged into
-   classes by label propagation. Buckets that still hold several classes get another hub, until a round merges
-   nothing; then all remaining pairs of different classes within a bucket are verified. So no pair of a bucket that
-   could join two classes goes untested, no bucket is capped, and copies are never expanded into all pairs.
+2. Texts that agree in all samples of a band share a bucket. Each member is paired with the bucket's hub, the text that
+   shares most buckets with others; pairs are verified by the exact weighted Jaccard similarity of both whole texts, and
+   verified links merged into classes by label propagation. In buckets that still hold several classes, members are
+   dealt by hash into parts of about BESIDE, and those of different classes within a part are verified as well. So the
+   work follows the size of a bucket, not its square; no bucket is capped, and small ones are compared in full. Two
+   similar texts of a large bucket can stay apart if neither is its hub, they share no part in any band, and no third
+   text links them; the README has figures.
 3. A class keeps the document with the smallest doc_id.
 
 Hot groups: exact copies are counted before the shuffle; hub links grow with the members of a bucket. Only joins with
@@ -41,6 +43,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
 IDF_BITS = 17
+BESIDE = 8
 COMMON, FLOOR, PRIOR = 1 / 3, 0.25, 1000
 _GROUP = 1 << 20  # bytes of text handled at once
 _STEPS = [np.uint64(pow(0xC2B2AE3D27D4EB4F, k + 1, 1 << 64)) for k in range(SHINGLE)]
@@ -259,57 +262,38 @@ def classes(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:
     distinct = signed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("bands").alias("bands"))
     distinct = stored(distinct, "near-distinct")
     banded = distinct.select("rep", F.posexplode("bands").alias("band", "key"))
-    shared = banded.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").select("band", "key")
+    shared = banded.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
     members = stored(banded.join(shared, ["band", "key"]), "near-members")
-    nodes = members.select("rep").distinct()
-    wanted = nodes.select(F.col("rep").alias("doc_id"))
+    central = members.groupBy("rep").agg(F.sum("n").alias("central"))
+    nodes = stored(central, "near-nodes")
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(wanted, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    texts = texts.join(nodes.select(F.col("rep").alias("doc_id")), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
     texts = stored(texts.withColumnRenamed("doc_id", "rep"), "near-texts")
-    labels = stored(nodes.select("rep", F.col("rep").alias("label")), "near-labels")
-    tested = links = None
-    turn, last = 0, False
-    while True:
-        placed = members.join(labels, "rep")
-        mixed = placed.groupBy("band", "key").agg(
-            F.min("label").alias("low"),
-            F.max("label").alias("high"),
-            # another hub each time
-            F.min_by(F.struct("rep", "label"), F.xxhash64("rep", F.lit(turn))).alias("hub"),
-        )
-        open_buckets = mixed.filter("low != high")
-        rest = placed.join(open_buckets, ["band", "key"])
-        if last:
-            other = placed.select("band", "key", F.col("rep").alias("other"), F.col("label").alias("other_label"))
-            rest = rest.select("band", "key", "rep", "label").join(other, ["band", "key"])
-        else:
-            rest = rest.select("rep", "label", F.col("hub.rep").alias("other"), F.col("hub.label").alias("other_label"))
-        pairs = rest.filter(F.col("label") != F.col("other_label")).select(
-            F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")
-        )
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "near-pairs")
-        if pairs.limit(1).count():
-            found = stored(_verified(pairs, texts, idf, least), "near-links")
-            merged = found.limit(1).count() > 0
-            if merged:
-                labels = _relabelled(labels, found)
-            tested = pairs if tested is None else tested.union(pairs)
-            links = found if links is None else links.union(found)
-        else:
-            merged = False
-        if last:
-            break
-        last = not merged
-        turn += 1
-    degree = None
-    if links is not None:
-        ends = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep")))
-        degree = ends.groupBy("rep").agg(F.count("*").alias("n_links"))
-    out = distinct.select("rep", "digest").join(labels, "rep", "left")
-    out = out.join(degree, "rep", "left") if degree is not None else out.withColumn("n_links", F.lit(0).cast("bigint"))
+    # every member with its bucket's hub
+    hub = F.max(F.struct("central", (-F.col("rep")).alias("first"))).alias("hub")
+    hubs = members.join(nodes, "rep").groupBy("band", "key").agg(hub)
+    hubs = hubs.select("band", "key", (-F.col("hub.first")).alias("other"))
+    pairs = members.join(hubs, ["band", "key"]).filter("rep != other")
+    pairs = pairs.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+    pairs = stored(pairs, "near-pairs")
+    links = stored(_verified(pairs, texts, idf, least), "near-links")
+    labels = components(nodes, links)
+    # members of different classes with those beside them
+    placed = members.join(labels, "rep")
+    several = placed.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    several = several.filter("low < high").select("band", "key")
+    part = F.pmod(F.xxhash64("rep", "band"), F.ceil(F.col("n") / BESIDE))
+    placed = placed.join(several, ["band", "key"]).select("band", "key", part.alias("part"), "rep", "label")
+    other = placed.select("band", "key", "part", F.col("rep").alias("other"), F.col("label").alias("other_label"))
+    beside = placed.join(other, ["band", "key", "part"]).filter("rep < other and label != other_label")
+    beside = beside.select(F.col("rep").alias("a"), F.col("other").alias("b")).distinct()
+    beside = stored(beside.join(pairs, ["a", "b"], "left_anti"), "near-pairs")
+    more = stored(_verified(beside, texts, idf, least), "near-links")
+    labels = _relabelled(labels, more)
+    links = links.union(more)
+    ends = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep")))
+    degree = ends.groupBy("rep").agg(F.count("*").alias("n_links"))
+    out = distinct.select("rep", "digest").join(labels, "rep", "left").join(degree, "rep", "left")
     out = out.select("digest", F.coalesce("label", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     found = signed.select("doc_id", "digest").join(out, "digest")
     return found.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.max("n_links").alias("n_links"))
