@@ -11,10 +11,10 @@ ordinary texts stays on the scale the threshold refers to. PRIOR documents of sm
 2. Texts that agree in all samples of a band share a bucket. Each member is paired with the bucket's hub, the text that
    shares most buckets with others; pairs are verified by the exact weighted Jaccard similarity of both whole texts, and
    verified links merged into classes by label propagation. In buckets that still hold several classes, members are
-   dealt by hash into parts of about BESIDE, and those of different classes within a part are verified as well. So the
-   work follows the size of a bucket, not its square; no bucket is capped, and small ones are compared in full. Two
-   similar texts of a large bucket can stay apart if neither is its hub, they share no part in any band, and no third
-   text links them; the README has figures.
+   dealt by hash into parts of about BESIDE, and those of different classes within a part are verified as well; they
+   are dealt anew until a round finds no link. So the work of a round follows the size of a bucket, not its square; no
+   bucket is capped, and small ones are compared in full. Two similar texts of a large bucket can stay apart if neither
+   is its hub, they share no part in any round, and no third text links them; the README has figures.
 3. A class keeps the document with the smallest doc_id.
 
 Hot groups: exact copies are counted before the shuffle; hub links grow with the members of a bucket. Only joins with
@@ -278,19 +278,22 @@ def classes(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:
     pairs = stored(pairs, "near-pairs")
     links = stored(_verified(pairs, texts, idf, least), "near-links")
     labels = components(nodes, links)
-    # members of different classes with those beside them
-    placed = members.join(labels, "rep")
-    several = placed.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    several = several.filter("low < high").select("band", "key")
-    part = F.pmod(F.xxhash64("rep", "band"), F.ceil(F.col("n") / BESIDE))
-    placed = placed.join(several, ["band", "key"]).select("band", "key", part.alias("part"), "rep", "label")
-    other = placed.select("band", "key", "part", F.col("rep").alias("other"), F.col("label").alias("other_label"))
-    beside = placed.join(other, ["band", "key", "part"]).filter("rep < other and label != other_label")
-    beside = beside.select(F.col("rep").alias("a"), F.col("other").alias("b")).distinct()
-    beside = stored(beside.join(pairs, ["a", "b"], "left_anti"), "near-pairs")
-    more = stored(_verified(beside, texts, idf, least), "near-links")
-    labels = _relabelled(labels, more)
-    links = links.union(more)
+    # members of different classes with those beside them, dealt anew until that merges nothing
+    tested, turn = pairs, 0
+    while True:
+        placed = members.join(labels, "rep")
+        several = placed.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        several = several.filter("low < high").select("band", "key")
+        part = F.pmod(F.xxhash64("rep", "band", F.lit(turn)), F.ceil(F.col("n") / BESIDE))
+        placed = placed.join(several, ["band", "key"]).select("band", "key", part.alias("part"), "rep", "label")
+        other = placed.select("band", "key", "part", F.col("rep").alias("other"), F.col("label").alias("other_label"))
+        beside = placed.join(other, ["band", "key", "part"]).filter("rep < other and label != other_label")
+        beside = beside.select(F.col("rep").alias("a"), F.col("other").alias("b")).distinct()
+        beside = stored(beside.join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        more = stored(_verified(beside, texts, idf, least), "near-links")
+        if not more.limit(1).count():
+            break
+        labels, links, tested, turn = _relabelled(labels, more), links.union(more), tested.union(beside), turn + 1
     ends = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep")))
     degree = ends.groupBy("rep").agg(F.count("*").alias("n_links"))
     out = distinct.select("rep", "digest").join(labels, "rep", "left").join(degree, "rep", "left")
