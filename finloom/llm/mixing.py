@@ -29,6 +29,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST = 1.5, 2.0
 BITS, STEP = 60, 12  # of the hash, and of them for each refinement
 PHASES = 4
+BROADCAST = 8 << 20  # bytes
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -155,31 +156,41 @@ def plan(documents: DataFrame, **settings) -> tuple[DataFrame, DataFrame]:
     return rows, sources.withColumnRenamed("size", "source_size").join(state.select("key", "spans"), "key")
 
 
-def _copies(size: Column, place: Column) -> Column:
-    within = F.exists("spans", lambda s: (size <= s["fits"]) & (place >= s["lower"]) & (place < s["upper"]))
-    return F.col("times") + within.cast("bigint")
+def _copies(times: Column, spans: Column, size: Column, place: Column) -> Column:
+    within = F.lit(False)
+    for k in range(PHASES + 1):
+        span = F.try_element_at(spans, F.lit(k + 1))
+        inside = (size <= span["fits"]) & (place >= span["lower"]) & (place < span["upper"])
+        within = within | F.coalesce(inside, F.lit(False))
+    return times + within.cast("bigint")
+
+
+def _small(sources: DataFrame) -> bool:
+    """Whether a table with a row per source can go to every task."""
+    size = sources.agg(F.sum(F.octet_length("key") + 40 * (PHASES + 2))).first()[0] or 0
+    return size <= BROADCAST
 
 
 def taken(documents: DataFrame, **settings) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken (words, repeats counted)."""
     rows, sources = plan(documents, **settings)
     placed = rows.join(sources, "key")
+    copies = _copies(F.col("times"), F.col("spans"), F.col("size"), F.col("place"))
     return placed.select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * _copies(F.col("size"), F.col("place"))).alias("taken")
+        "doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken")
     )
 
 
 def mix(documents: DataFrame, **settings) -> DataFrame:
     """The mixed corpus: each document as often as it is taken, with its own columns."""
     _, sources = plan(documents, **settings)
-    key, copies = free_name(documents, "mix_key"), free_name(documents, "mix_copies")
-    renamed = sources.select(F.col("key").alias(key), "times", "spans")
-    clash = {c: free_name(documents, f"mix_{c}") for c in ("times", "spans")}
-    renamed = renamed.withColumnsRenamed(clash)
-    spans, times = F.col(clash["spans"]), F.col(clash["times"])
-    size, place = n_words(F.col("text")), _place(F.col("doc_id"))
-    within = F.exists(spans, lambda s: (size <= s["fits"]) & (place >= s["lower"]) & (place < s["upper"]))
-    marked = documents.withColumn(key, _key(F.col("source"))).join(renamed, key)
-    repeated = F.sequence(F.lit(1), times + within.cast("bigint"))
-    marked = marked.withColumn(copies, F.when(times + within.cast("bigint") > 0, repeated))
-    return marked.withColumn(copies, F.explode(copies)).select(*documents.columns)
+    own = {c: free_name(documents, f"mix_{c}") for c in ("key", "size", "place", "times", "spans", "copies")}
+    sources = sources.select("key", "times", "spans").withColumnsRenamed({c: own[c] for c in ("key", "times", "spans")})
+    if _small(sources.withColumnRenamed(own["key"], "key")):
+        sources = F.broadcast(sources)  # then no text moves; with more sources the join is a shuffle join
+    measured = documents.withColumns(
+        {own["key"]: _key(F.col("source")), own["size"]: n_words(F.col("text")), own["place"]: _place(F.col("doc_id"))}
+    )
+    copies = _copies(*(F.col(own[c]) for c in ("times", "spans", "size", "place")))
+    repeated = measured.join(sources, own["key"]).withColumn(own["copies"], F.array_repeat(F.lit(1), copies.cast("int")))
+    return repeated.withColumn(own["copies"], F.explode(own["copies"])).select(*(F.col(f"`{c}`") for c in documents.columns))
