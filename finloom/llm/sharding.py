@@ -61,8 +61,10 @@ def propagate(members: DataFrame, shards: int, quota: int, rounds: int = ROUNDS)
         )
         here = held.withColumnRenamed("n", "here")
         gains = placed.join(here, ["hub", "shard"]).join(goals, "hub")
-        gains = gains.filter((F.col("goal.shard") != F.col("shard")) & (F.col("goal.n") > F.col("here")))
-        wishes = gains.groupBy("row", F.col("goal.shard").alias("to")).agg(F.sum(F.col("goal.n") - F.col("here")).alias("gain"))
+        # neighbours there against neighbours here, the document itself not counted; one goal a hub, so no two swap
+        gain = F.col("goal.n") - (F.col("here") - 1)
+        gains = gains.filter((F.col("goal.shard") != F.col("shard")) & (gain > 0))
+        wishes = gains.groupBy("row", F.col("goal.shard").alias("to")).agg(F.sum(gain).alias("gain"))
         wishes = wishes.groupBy("row").agg(F.max_by("to", F.struct("gain", "to")).alias("to"))
         grain = F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(GRAIN))
         wishes = stored(wishes.withColumn("grain", grain), "shard-wishes")
