@@ -32,9 +32,9 @@ GRAIN = 1024  # hash buckets of the wishes
 PIECE = 20_000
 
 
-def _tally(rows: DataFrame, shards: int, value: Column = F.lit(1)) -> list[int]:
-    """A number per shard."""
-    found = {r["shard"]: r["n"] for r in rows.groupBy("shard").agg(F.sum(value).alias("n")).collect()}
+def _tally(rows: DataFrame, shards: int) -> list[int]:
+    """Rows per shard."""
+    found = {r["shard"]: r["n"] for r in rows.groupBy("shard").agg(F.count("*").alias("n")).collect()}
     return [found.get(k, 0) for k in range(shards)]
 
 
