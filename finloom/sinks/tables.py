@@ -12,7 +12,8 @@ CONCURRENT_WRITES = 8
 
 
 def ensure_schema(spark: SparkSession, schema: str) -> None:
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    quoted = schema.replace("`", "``")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{quoted}`")
 
 
 def overwrite_table(df: DataFrame, table: str, table_format: str = "parquet", partition_by: Sequence[str] = ()) -> None:

@@ -12,16 +12,23 @@ from finloom.schemas import MANIFEST, RAW
 from finloom.sinks.tables import ensure_schema, overwrite_table, write_together
 
 AUDIT_COLUMNS = ("_source_file", "_ingested_at", "_batch_id")
+MALFORMED = "_malformed"
 
 
-def read_csv_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv_text(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
     """Read CSV with a header, every column text.
 
     Blanks around header names and values are dropped and a byte order mark is ignored. The header is
     checked against the schema, so a file with other or reordered columns fails instead of shifting values.
+    ``multi_line`` allows line breaks within quotes; files are then no longer split.
     """
     return (
         spark.read.schema(schema)
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        .option("columnPruning", False)  # a line is judged by all its values, whichever columns are used
+        .option("multiLine", multi_line)
         .option("header", True)
         .option("enforceSchema", False)
         .option("ignoreLeadingWhiteSpace", True)
@@ -30,6 +37,13 @@ def read_csv_text(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     )
 
 
+def read_csv_checked(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
+    """``read_csv_text`` with the whole line in MALFORMED where its values do not match the columns."""
+    return read_csv_text(spark, path, T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())]), multi_line)
+
+
 def with_audit(df: DataFrame, batch_id: str) -> DataFrame:
     """Add the file each row came from, the load time and the batch."""
     return df.withColumns(
@@ -46,6 +60,16 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return read_csv_text(spark, path, MANIFEST)
 
 
+def _resolved(spark: SparkSession, landing: str, name: str) -> str:
+    """The landed file or folder of that name, with or without the extension."""
+    jvm = spark.sparkContext._jvm
+    for candidate in (f"{landing}/{name}", f"{landing}/{name}.csv"):
+        path = jvm.org.apache.hadoop.fs.Path(candidate)
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return candidate
+    raise FileNotFoundError(f"{landing} has neither {name} nor {name}.csv")
+
+
 def ingest(
     spark: SparkSession,
     manifest: DataFrame,
@@ -54,16 +78,25 @@ def ingest(
     schema_prefix: str = "",
     table_format: str = "parquet",
 ) -> list[str]:
-    """Load every file the manifest names into its raw table, with audit columns; returns the table names.
+    """Load the files the manifest names into their raw tables, with audit columns; returns the table names.
 
-    Only the manifest, a handful of rows, is collected. Each load is one distributed read and write.
+    All files of a table are one distributed read. Lines with too many or too few values go, as they are and with
+    their file, to ``<table>_rejects`` beside the table; nothing is cut or padded. Unknown tables and missing files
+    fail before anything is written. Only the manifest, a row per file, is collected.
     """
-    writes = {}
+    files: dict[tuple[str, str], list[str]] = {}
     for row in manifest.collect():
-        schema = schema_prefix + row["sink_schema"]
+        if row["table_name"] not in RAW:
+            raise ValueError(f"the manifest names an unknown table: {row['table_name']}")
+        key = (schema_prefix + row["sink_schema"], row["table_name"])
+        files.setdefault(key, []).append(_resolved(spark, landing, row["file_name"]))
+    writes = []
+    for (schema, name), paths in files.items():
         ensure_schema(spark, schema)
-        frame = read_csv_text(spark, f"{landing}/{row['file_name']}", RAW[row["table_name"]])
-        table = f"{schema}.{row['table_name']}"
-        writes[table] = partial(overwrite_table, with_audit(frame, batch_id), table, table_format)
-    write_together(spark, writes.values())
-    return list(writes)
+        rows = with_audit(read_csv_checked(spark, paths, RAW[name]), batch_id)
+        good = rows.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
+        bad = rows.filter(F.col(MALFORMED).isNotNull()).select(*RAW[name].names, MALFORMED, *AUDIT_COLUMNS)
+        writes.append(partial(overwrite_table, good, f"{schema}.{name}", table_format))
+        writes.append(partial(overwrite_table, bad, f"{schema}.{name}_rejects", table_format))
+    write_together(spark, writes)
+    return [f"{schema}.{name}" for schema, name in files]
