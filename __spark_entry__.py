@@ -8,19 +8,20 @@ from __future__ import annotations
 
 import importlib.util
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finloom.layer import Layer
 from finloom.operators import cube, quality
-from finloom.operators.clean import LATEST_BY, clean_table, dedup, null_policy, parse_dates
+from finloom.operators.clean import LATEST_BY, clean_layer, clean_table, dedup, null_policy, parse_dates, rejects
 from finloom.operators.kpis import KPIS, first_months
-from finloom.operators.mart import FACT_PARTITIONS
+from finloom.operators.mart import FACT_PARTITIONS, POSTED, mart_layer
+from finloom.operators.silver import silver_layer
 from finloom.plans.layers import mart_of, silver_of
-from finloom.plans.pipeline import materialize_kpis, publish_kpi_views, store
-from finloom.schemas import CLEAN, KEYS, MART, RAW
+from finloom.plans.pipeline import materialize_kpis, publish_kpi_views, register_session_views, store
+from finloom.schemas import CLEAN, KEYS, MANIFEST, MART, RAW
 from finloom.scratch import fresh_folder, fresh_schema
 from finloom.sinks.tables import overwrite_table, write_together
 from finloom.sources import files, samples
@@ -83,18 +84,30 @@ def raw_with_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ingest_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """Land all six raw tables as files, load them as the control table says, count what was stored."""
+    """Land all six raw tables as files, accounts as three and one with a malformed line, load them as the control
+    table says, and describe what was stored: rows, distinct keys, length of all text, rejected lines."""
     landing = fresh_folder(spark, "landing")
     raw = samples.raw_layer(spark, folder)
-    write_together(spark, [partial(_land, raw, name, landing) for name in raw])
-    samples.manifest(spark).coalesce(1).write.option("header", True).csv(f"{landing}/meta_data")
+    write_together(spark, [partial(_land, raw, name, landing) for name in raw if name != "accounts"])
+    accounts = raw["accounts"].withColumn("part", F.expr("crc32(CAST(account_id AS BINARY)) % 3"))
+    for k in range(3):
+        accounts.filter(f"part = {k}").drop("part").write.option("header", True).csv(f"{landing}/accounts_{k}.csv")
+    lines = [(",".join(RAW["accounts"].names),), (",".join(["x"] * (len(RAW["accounts"].names) + 1)),)]
+    spark.createDataFrame(lines, "line string").coalesce(1).write.text(f"{landing}/accounts_bad.csv")
+    names = [*((f"accounts_{k}", "raw", "accounts") for k in (0, 1, 2, "bad"))]
+    control = samples.manifest(spark).filter("table_name <> 'accounts'").union(spark.createDataFrame(names, MANIFEST))
+    control.coalesce(1).write.option("header", True).csv(f"{landing}/meta_data")
     control = files.read_manifest(spark, f"{landing}/meta_data")
     prefix = fresh_schema(spark, "ingest") + "_"
     spark.sql(f"CREATE SCHEMA {prefix}raw LOCATION '{fresh_folder(spark, 'raw')}'")
     counts = None
     for table in files.ingest(spark, control, landing, "batch-1", schema_prefix=prefix):
         name = table.split(".")[1]
-        count = spark.table(table).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+        text = f"coalesce(sum(length(concat_ws('|', {', '.join(RAW[name].names)}))), 0)"
+        count = spark.table(table).selectExpr(
+            f"'{name}' AS table_name", "count(*) AS n_rows", f"count(DISTINCT {KEYS[name]}) AS n_keys", f"{text} AS text_length"
+        )
+        count = count.withColumn("n_rejects", F.lit(spark.table(f"{table}_rejects").count()).cast("bigint"))
         counts = count if counts is None else counts.unionByName(count)
     return counts
 
@@ -138,10 +151,11 @@ def kpi_persistent_view(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_null_counts(raw: Layer) -> DataFrame:
-    employee, ledger, payroll = (
-        quality.null_counts(raw[name], CLEAN[name], name) for name in ("employee", "general_ledgers", "payroll")
-    )
-    return employee.unionByName(ledger).unionByName(payroll)
+    return reduce(DataFrame.unionByName, [quality.null_counts(raw[name], CLEAN[name], name) for name in CLEAN])
+
+
+def dq_duplicate_keys(raw: Layer) -> DataFrame:
+    return quality.duplicate_keys_of(Layer({n: lambda n=n: _clean(raw, n) for n in CLEAN}), KEYS)
 
 
 def dq_orphans(mart: Layer) -> DataFrame:
@@ -152,15 +166,19 @@ def dq_orphans(mart: Layer) -> DataFrame:
 
 
 def dq_reconcile(raw: Layer) -> DataFrame:
-    silver, mart = silver_of(raw), mart_of(raw)
+    mart = mart_layer(silver_layer(clean_layer(raw, one_row_per_key=True)))
+
+    def of(name: str, fact: str, in_fact: str) -> DataFrame:
+        return quality.reconcile(name, _clean(raw, name), KEYS[name], in_fact, mart[fact])
+
+    ledger = of("general_ledgers", "fact_gl", f"status = '{POSTED}'")
+    return ledger.unionByName(of("payroll", "fact_payroll", "true"))
 
-    def of(name: str, fact: str, excluded: DataFrame) -> DataFrame:
-        tagged = null_policy(_clean(raw, name), [KEYS[name]])
-        return quality.reconcile(name, raw[name], tagged, mart[fact], excluded)
 
-    unposted = silver["general_ledgers"].filter(~F.col("status").eqNullSafe("Posted"))
-    nothing = silver["payroll"].filter(F.lit(False))
-    return of("general_ledgers", "fact_gl", unposted).unionByName(of("payroll", "fact_payroll", nothing))
+def kpi_session_views(spark: SparkSession, folder: str) -> DataFrame:
+    """Star schema and KPIs as session views, KPI 6 asked for in SQL."""
+    register_session_views(mart_of(samples.raw_layer(spark, folder)))
+    return spark.sql(f"SELECT * FROM {KPIS[KPI6].view}")
 
 
 def reference_queries() -> dict[str, Query]:
@@ -195,9 +213,12 @@ def reference_queries() -> dict[str, Query]:
         "fact_integrated_datacube": _on_mart(cube.integrated_cube),
         "datacube_profile": _on_mart(lambda mart: cube.profile(cube.integrated_cube(mart, cube.PROFILE_COLUMNS))),
         "datacube_sample": _on_mart(cube.sample),
+        "kpi_session_views": kpi_session_views,
+        "kpi1_first_months": _on_mart(lambda mart: first_months(KPIS["kpi1_monthly_consolidated_revenue"].build(mart))),
+        "clean_gl_rejects": _on_raw(lambda raw: rejects(_clean(raw, "general_ledgers"), "general_ledgers")),
         "kpi6_first_months": _on_mart(lambda mart: first_months(KPIS[KPI6].build(mart))),
         "dq_null_counts": _on_raw(dq_null_counts),
-        "dq_duplicate_keys": _on_raw(lambda raw: quality.duplicate_keys(_clean(raw, "general_ledgers"), "gl_id")),
+        "dq_duplicate_keys": _on_raw(dq_duplicate_keys),
         "dq_orphans": _on_mart(dq_orphans),
         "dq_reconcile": _on_raw(dq_reconcile),
     }

@@ -45,14 +45,29 @@ def rejected(tagged: DataFrame) -> DataFrame:
 def dedup(df: DataFrame, key: str, latest_by: Sequence[str] = ()) -> DataFrame:
     """One row per key: the latest by ``latest_by``, ties broken by all other columns.
 
+    Rows with a NULL key have nothing in common and all stay.
     The order is total over the columns, so exact duplicates collapse as well. Spark keeps one row per key in
     every map task before the shuffle (partial group limit), so a key that holds a large share of all rows
     reaches its reducer as one row per map task.
     """
+    first = ranked(df.filter(F.col(key).isNotNull()), key, latest_by).filter(F.col("_rank") == 1).drop("_rank")
+    return first.unionByName(df.filter(F.col(key).isNull()))
+
+
+def ranked(df: DataFrame, key: str, latest_by: Sequence[str]) -> DataFrame:
+    """Each key's rows numbered in ``_rank``, the one that stays first."""
     rest = [c for c in df.columns if c != key and c not in latest_by]
     order = [F.col(c).desc_nulls_last() for c in latest_by] + [F.col(c).asc_nulls_first() for c in rest]
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+    return df.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*(order or [key]))))
+
+
+def rejects(clean: DataFrame, table: str) -> DataFrame:
+    """The rows that ``one_row_per_key`` takes out of a clean table, with the reason: together with what it keeps
+    they are all rows."""
+    key = KEYS[table]
+    repeated = ranked(clean.filter(F.col(key).isNotNull()), key, LATEST_BY.get(table, ())).filter(F.col("_rank") > 1)
+    without = clean.filter(F.col(key).isNull()).withColumn("reject_reason", F.lit("null_key"))
+    return without.unionByName(repeated.drop("_rank").withColumn("reject_reason", F.lit("duplicate_key")))
 
 
 # Fixed choice: of several rows with one key the one dated last is the current one.
@@ -67,6 +82,11 @@ def clean_table(raw: DataFrame, table: str, one_row_per_key: bool = False) -> Da
     return clean
 
 
+def rejects_layer(raw: Layer) -> Layer:
+    """The rejects of the six clean tables, as ``<table>_rejects``."""
+    return Layer({f"{name}_rejects": lambda name=name: rejects(clean_table(raw[name], name), name) for name in CLEAN})
+
+
 def clean_layer(raw: Layer, one_row_per_key: bool = False) -> Layer:
     """The six clean tables.
 

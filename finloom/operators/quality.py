@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finloom.functions.columns import as_type, named
+from finloom.operators.clean import LATEST_BY, ranked
 
 
 def null_counts(raw: DataFrame, schema: T.StructType, table: str) -> DataFrame:
@@ -35,6 +36,15 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.expr("count(*) AS n_rows")).filter("n_rows > 1")
 
 
+def duplicate_keys_of(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> DataFrame:
+    """Repeated keys of several tables, keys as text. A NULL key counts like any other."""
+    found = [
+        duplicate_keys(tables[name], key).selectExpr(f"'{name}' AS table_name", f"CAST({key} AS STRING) AS key_value", "n_rows")
+        for name, key in keys.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def orphans(fact: DataFrame, name: str, references: Mapping[str, DataFrame]) -> DataFrame:
     """Foreign key values without a dimension row, with the fact rows that carry them.
 
@@ -62,25 +72,30 @@ def orphans(fact: DataFrame, name: str, references: Mapping[str, DataFrame]) ->
     return missing.selectExpr(f"'{name}' AS fact_name", "foreign_key", "key_value", "n_rows")
 
 
-def reconcile(table: str, raw: DataFrame, tagged: DataFrame, fact: DataFrame, excluded: DataFrame) -> DataFrame:
-    """Row counts from raw to fact: raw = kept + rejected, and kept = fact + excluded by the fact's filter.
+def reconcile(table: str, clean: DataFrame, key: str, in_fact: str, fact: DataFrame) -> DataFrame:
+    """Row counts from raw to fact of one table: one scan of the table, and the fact counted on its own.
 
-    Every layer is counted on its own; on stored tables a count reads file footers only.
+    raw = kept + rejected (NULL key) + duplicate (all but one row of a key); kept = fact + excluded, the kept rows that
+    the fact's filter ``in_fact`` leaves out.
     """
-    def count(df: DataFrame, measure: str) -> DataFrame:
-        return df.agg(F.expr("count(*) AS n")).selectExpr(f"'{measure}' AS measure", "n")
-
-    by_outcome = tagged.groupBy("disposition").agg(F.expr("count(*) AS n"))
-    counts = reduce(
-        DataFrame.unionByName,
-        [
-            count(raw, "n_raw"),
-            by_outcome.selectExpr("concat('n_', disposition) AS measure", "n"),
-            count(fact, "n_fact"),
-            count(excluded, "n_excluded"),
-        ],
+    rows = dedup_marked(clean, table, key)
+    counts = dict(
+        n_raw="count(*)",
+        n_kept="count_if(_kept)",
+        n_rejected=f"count_if({key} IS NULL)",
+        n_duplicate=f"count_if({key} IS NOT NULL AND NOT _kept)",
+        n_fact="0L",
+        n_excluded=f"count_if(_kept AND NOT coalesce({in_fact}, false))",
     )
-    measures = ("n_raw", "n_kept", "n_rejected", "n_fact", "n_excluded")
-    wide = counts.agg(*named(**{m: f"coalesce(sum(n) FILTER (WHERE measure = '{m}'), 0)" for m in measures}))
-    balanced = "n_raw = n_kept + n_rejected AND n_kept = n_fact + n_excluded"
-    return wide.selectExpr(f"'{table}' AS table_name", *measures, f"{balanced} AS balanced")
+    balanced = "n_raw = n_kept + n_rejected + n_duplicate AND n_kept = n_fact + n_excluded"
+    in_fact_table = {**dict.fromkeys(counts, "0L"), "n_fact": "count(*)"}
+    both = rows.agg(*named(**counts)).unionByName(fact.agg(*named(**in_fact_table)))
+    total = both.agg(*named(**{name: f"sum({name})" for name in counts}))
+    return total.selectExpr(f"'{table}' AS table_name", "*", f"{balanced} AS balanced")
+
+
+def dedup_marked(clean: DataFrame, table: str, key: str) -> DataFrame:
+    """All rows, ``_kept`` true for those that null policy and deduplication leave."""
+    keyed = ranked(clean.filter(f"{key} IS NOT NULL"), key, LATEST_BY.get(table, ()))
+    keyed = keyed.selectExpr("* EXCEPT (_rank)", "_rank = 1 AS _kept")
+    return keyed.unionByName(clean.filter(f"{key} IS NULL").selectExpr("*", "false AS _kept"))

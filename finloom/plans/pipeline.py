@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from finloom.config import Layout
 from finloom.layer import Layer
-from finloom.operators.clean import clean_layer
+from finloom.operators import quality
+from finloom.operators.clean import clean_layer, rejects_layer
 from finloom.operators.cube import integrated_cube
 from finloom.operators.kpis import KPIS, ROLLUP, gl_monthly
 from finloom.operators.mart import FACT_PARTITIONS, mart_layer
 from finloom.operators.silver import silver_layer
-from finloom.schemas import MART, RAW
+from finloom.schemas import CLEAN, KEYS, MART, RAW
 from finloom.sinks.tables import (
     ensure_schema,
     overwrite_table,
@@ -49,10 +50,13 @@ def build_mart(spark: SparkSession, layout: Layout, one_row_per_key: bool = Fals
     """Raw tables -> clean -> silver -> star schema, each layer stored."""
     raw = Layer.stored(spark, layout.raw, RAW)
     clean = store(spark, clean_layer(raw, one_row_per_key), layout.clean, layout.table_format)
+    if one_row_per_key:  # what the clean tables leave out
+        store(spark, rejects_layer(raw), layout.clean, layout.table_format)
     silver = store(spark, silver_layer(clean), layout.silver, layout.table_format)
     star = mart_layer(silver)
     dimensions = Layer({n: lambda n=n: star[n] for n in MART if n.startswith("dim_")})
     store(spark, dimensions, layout.mart, layout.table_format)
+    check_dimension_keys(stored_mart(spark, layout))
     # the ledger fact joins the account dimension as stored, not as a plan to run again
     star = mart_layer(silver, stored_mart(spark, layout))
     facts = [n for n in MART if n.startswith("fact_")]
@@ -66,6 +70,33 @@ def build_mart(spark: SparkSession, layout: Layout, one_row_per_key: bool = Fals
     return stored_mart(spark, layout)
 
 
+# The key of each dimension.
+DIMENSION_KEYS = {
+    "dim_account": "account_id",
+    "dim_departments": "department_id",
+    "dim_employee": "employee_id",
+    "dim_company": "company_id",
+}
+
+
+def check_dimension_keys(mart: Layer) -> None:
+    """KPIs and cube join on unique dimension keys; repeated ones stop the run instead of multiplying amounts."""
+    found = quality.duplicate_keys_of(mart, DIMENSION_KEYS).filter("key_value IS NOT NULL")
+    counts = found.groupBy("table_name").agg(F.expr("count(*) AS n")).collect()  # a row per dimension
+    if counts:
+        told = ", ".join(f"{r['table_name']}: {r['n']}" for r in counts)
+        raise ValueError(f"repeated dimension keys ({told}); run with one_row_per_key=True or mend the source")
+
+
+def store_quality(spark: SparkSession, layout: Layout) -> None:
+    """The quality checks of the run as tables beside the clean layer."""
+    raw, clean = Layer.stored(spark, layout.raw, RAW), Layer.stored(spark, layout.clean, CLEAN)
+    nulls = reduce(DataFrame.unionByName, [quality.null_counts(raw[n], CLEAN[n], n) for n in CLEAN])
+    checks = {"dq_null_counts": nulls, "dq_duplicate_keys": quality.duplicate_keys_of(clean, KEYS)}
+    writes = [partial(overwrite_table, df, f"{layout.clean}.{n}", layout.table_format) for n, df in checks.items()]
+    write_together(spark, writes)
+
+
 def materialize_kpis(
     spark: SparkSession,
     mart: Layer,
@@ -126,4 +157,5 @@ def run(spark: SparkSession, layout: Layout = Layout(), one_row_per_key: bool =
     status = materialize_kpis(spark, mart, layout.mart, table_format=layout.table_format)
     publish_kpi_views(spark, layout.mart, layout.curated)
     build_cube(spark, mart, layout)
+    store_quality(spark, layout)
     return status

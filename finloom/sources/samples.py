@@ -87,7 +87,7 @@ def employee(customer: DataFrame) -> tuple[DataFrame, dict[str, str]]:
 def general_ledgers(lineitem: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     price = _text(money("l_extendedprice"))
     return lineitem, {
-        "gl_id": _text("l_orderkey * 10 + l_linenumber"),
+        "gl_id": f"CASE WHEN l_orderkey % 400 = 7 THEN 'n/a' ELSE {_text('l_orderkey * 10 + l_linenumber')} END",
         "entry_date": _date("date_sub(l_shipdate, l_linenumber)"),
         "posting_date": (
             f"CASE WHEN l_linenumber = 7 THEN {_date('l_shipdate', 'dd-MM-yyyy')} ELSE {_date('l_shipdate')} END"
@@ -115,7 +115,7 @@ def payroll(orders: DataFrame) -> tuple[DataFrame, dict[str, str]]:
         return _text(money(f"{money('o_totalprice')} * {rate}"))
 
     return orders, {
-        "payroll_id": _text("o_orderkey"),
+        "payroll_id": f"CASE WHEN o_orderkey % 400 = 7 THEN 'n/a' ELSE {_text('o_orderkey')} END",
         "employee_id": _text("o_custkey"),
         "company_id": _text("o_custkey % 5 + 1"),
         "department_id": _text("(o_custkey div 5) % 25 + 1"),

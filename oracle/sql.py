@@ -81,7 +81,7 @@ _RAW = {
                case when c_acctbal >= 0 then 'TRUE' else 'FALSE' end as is_active
         from customer""",
     "raw_general_ledgers": """
-        select cast(l_orderkey * 10 + l_linenumber as varchar) as gl_id,
+        select case when l_orderkey % 400 = 7 then 'n/a' else cast(l_orderkey * 10 + l_linenumber as varchar) end as gl_id,
                strftime(cast(l_shipdate as date) - l_linenumber, '%d-%m-%Y %H:%M') as entry_date,
                if(l_linenumber = 7, strftime(l_shipdate, '%d-%m-%Y'), strftime(l_shipdate, '%d-%m-%Y %H:%M'))
                    as posting_date,
@@ -99,7 +99,7 @@ _RAW = {
                if(l_returnflag = 'R', null, 'mgr' || (l_suppkey % 3)) as approved_by
         from lineitem""",
     "raw_payroll": """
-        select cast(o_orderkey as varchar) as payroll_id, cast(o_custkey as varchar) as employee_id,
+        select case when o_orderkey % 400 = 7 then 'n/a' else cast(o_orderkey as varchar) end as payroll_id, cast(o_custkey as varchar) as employee_id,
                cast(o_custkey % 5 + 1 as varchar) as company_id,
                cast((o_custkey // 5) % 25 + 1 as varchar) as department_id,
                paid as pay_period_start, paid as pay_period_end, paid as pay_date,
@@ -406,6 +406,17 @@ def _casts(ints: str = "", longs: str = "", money: str = "", dates: str = "", fl
 
 _NULL_COUNTS = " union all ".join(
     [
+        _null_counts(
+            "accounts",
+            _casts(ints="account_id", flags="is_active", text="account_code account_name account_type category"),
+        ),
+        _null_counts(
+            "company",
+            _casts(ints="company_id", flags="is_active", text="company_name industry country established_date"),
+        ),
+        _null_counts(
+            "departments", _casts(ints="department_id", text="department_code department_name cost_center")
+        ),
         _null_counts(
             "employee",
             _casts(
@@ -476,9 +487,20 @@ _SAMPLE = """
              k3 nulls first, amount nulls first, status nulls first
     limit 10"""
 
+_KEYS = {
+    "accounts": "account_id",
+    "company": "company_id",
+    "departments": "department_id",
+    "employee": "employee_id",
+    "general_ledgers": "gl_id",
+    "payroll": "payroll_id",
+}
+
 _ROWS_OF_TABLES = " union all ".join(
-    f"select '{name}' as table_name, count(*) as n_rows from raw_{name}"
-    for name in ("accounts", "company", "departments", "employee", "general_ledgers", "payroll")
+    f"select '{name}' as table_name, count(*) as n_rows, count(distinct {key}) as n_keys, "
+    f"coalesce(sum(length(concat_ws('|', *columns(*)))), 0)::bigint as text_length, "
+    f"{int(name == 'accounts')}::bigint as n_rejects from raw_{name}"
+    for name, key in _KEYS.items()
 )
 
 _FACT_GL_ORDER = (
@@ -487,6 +509,9 @@ _FACT_GL_ORDER = (
     "account_type, account_name, status, created_by, approved_by"
 )
 
+_ONE_LEDGER_LINE = f"""(select * from (select distinct * from clean_general_ledgers where gl_id is not null)
+                      qualify row_number() over (partition by gl_id order by {_LEDGER_ORDER}) = 1)"""
+
 _BODIES: dict[str, str] = {
     "scan_accounts": "select * from raw_accounts",
     "csv_landing": "select * from raw_accounts",
@@ -508,8 +533,14 @@ _BODIES: dict[str, str] = {
                    as disposition
         from clean_payroll""",
     "clean_gl_dedup": f"""
-        select * from (select distinct * from clean_general_ledgers)
-        qualify row_number() over (partition by gl_id order by {_LEDGER_ORDER}) = 1""",
+        select * from (select * from (select distinct * from clean_general_ledgers where gl_id is not null)
+        qualify row_number() over (partition by gl_id order by {_LEDGER_ORDER}) = 1)
+        union all select * from clean_general_ledgers where gl_id is null""",
+    "clean_gl_rejects": f"""
+        select *, 'null_key' as reject_reason from clean_general_ledgers where gl_id is null
+        union all
+        select *, 'duplicate_key' from (select * from clean_general_ledgers where gl_id is not null
+        qualify row_number() over (partition by gl_id order by {_LEDGER_ORDER}) > 1)""",
     "silver_accounts": "select * from silver_accounts",
     "silver_departments": "select * from silver_departments",
     "silver_employee": "select * from silver_employee",
@@ -531,12 +562,19 @@ _BODIES: dict[str, str] = {
                max(transaction_date) as latest_transaction
         from cube group by source_fact""",
     "datacube_sample": _SAMPLE,
+    "kpi_session_views": KPI_SQL["kpi6_net_profit_by_month"],
+    "kpi1_first_months": f"""
+        select * from ({KPI_SQL["kpi1_monthly_consolidated_revenue"]})
+        order by fiscal_year, fiscal_period limit 5""",
     "kpi6_first_months": f"""
         select * from ({KPI_SQL["kpi6_net_profit_by_month"]})
         order by fiscal_year, fiscal_period, company_id limit 5""",
     "dq_null_counts": _NULL_COUNTS,
-    "dq_duplicate_keys": """
-        select gl_id, count(*) as n_rows from clean_general_ledgers group by gl_id having count(*) > 1""",
+    "dq_duplicate_keys": " union all ".join(
+        f"select '{name}' as table_name, {key}::varchar as key_value, count(*) as n_rows from clean_{name} "
+        f"group by {key} having count(*) > 1"
+        for name, key in _KEYS.items()
+    ),
     "dq_orphans": " union all ".join(
         [
             _orphans("fact_gl", "account_id", "dim_account"),
@@ -547,19 +585,22 @@ _BODIES: dict[str, str] = {
             _orphans("fact_payroll", "company_id", "dim_company"),
         ]
     ),
-    "dq_reconcile": """
-        select *, n_raw = n_kept + n_rejected and n_kept = n_fact + n_excluded as balanced
+    "dq_reconcile": f"""
+        select *, n_raw = n_kept + n_rejected + n_duplicate and n_kept = n_fact + n_excluded as balanced
         from (select 'general_ledgers' as table_name, (select count(*) from raw_general_ledgers) as n_raw,
-                     (select count(*) from clean_general_ledgers where gl_id is not null) as n_kept,
+                     (select count(distinct gl_id) from clean_general_ledgers) as n_kept,
                      (select count(*) from clean_general_ledgers where gl_id is null) as n_rejected,
-                     (select count(*) from fact_gl) as n_fact,
-                     (select count(*) from silver_general_ledgers where status is distinct from 'Posted')
-                         as n_excluded
+                     (select coalesce(sum(n - 1), 0)::bigint from (select count(*) as n from clean_general_ledgers
+                      where gl_id is not null group by gl_id)) as n_duplicate,
+                     (select count(*) from {_ONE_LEDGER_LINE} where status = 'Posted') as n_fact,
+                     (select count(*) from {_ONE_LEDGER_LINE} where status is distinct from 'Posted') as n_excluded
               union all
               select 'payroll', (select count(*) from raw_payroll),
-                     (select count(*) from clean_payroll where payroll_id is not null),
+                     (select count(distinct payroll_id) from clean_payroll),
                      (select count(*) from clean_payroll where payroll_id is null),
-                     (select count(*) from fact_payroll), 0)""",
+                     (select coalesce(sum(n - 1), 0)::bigint from (select count(*) as n from clean_payroll
+                      where payroll_id is not null group by payroll_id)),
+                     (select count(distinct payroll_id) from clean_payroll), 0)""",
 }
 
 QUERIES: dict[str, str] = {name: over_layers(body) for name, body in _BODIES.items()}

@@ -10,7 +10,19 @@ from finloom.functions.columns import as_type, fiscal_month_label, lenient_date
 from finloom.functions.money import percentage, quotient
 from finloom.layer import Layer
 from finloom.operators import cube, quality, silver
-from finloom.operators.clean import clean_table, dedup, kept, null_policy, parse_dates, rejected, typed
+from finloom.sources.samples import raw_layer
+from finloom.plans.pipeline import check_dimension_keys
+from finloom.operators.clean import (
+    LATEST_BY,
+    clean_table,
+    dedup,
+    kept,
+    null_policy,
+    parse_dates,
+    rejected,
+    rejects,
+    typed,
+)
 from finloom.operators.kpis import KPIS, first_months
 from finloom.operators.mart import dim_account, fact_gl
 from finloom.schemas import CLEAN, MART, RAW, SILVER
@@ -476,8 +488,29 @@ def test_orphans_and_duplicates(spark):
 
 
 def test_reconcile_reports_a_gap(spark):
-    raw = spark.createDataFrame([(1,), (2,), (None,)], "k int")
-    tagged = null_policy(raw, ["k"])
-    good = quality.reconcile("t", raw, tagged, raw.filter("k = 1"), raw.filter("k = 2")).first()
-    assert tuple(good) == ("t", 3, 2, 1, 1, 1, True)
-    assert quality.reconcile("t", raw, tagged, raw, raw.filter("k = 2")).first()["balanced"] is False
+    rows = spark.createDataFrame([(1,), (2,), (None,), (None,), (2,), (2,)], "k int")
+    good = quality.reconcile("t", rows, "k", "k = 1", rows.filter("k = 1")).first()
+    assert tuple(good) == ("t", 6, 2, 2, 2, 1, 1, True)
+    assert quality.reconcile("t", rows, "k", "k = 1", rows.filter("k = 5")).first()["balanced"] is False
+
+
+def test_rejects_and_kept_rows_are_all_rows(spark, small):
+    clean = clean_table(raw_layer(spark, small)["general_ledgers"], "general_ledgers")
+    out = rejects(clean, "general_ledgers")
+    stays = kept(null_policy(dedup(clean, "gl_id", LATEST_BY["general_ledgers"]), ["gl_id"]))
+    assert set(r[0] for r in out.select("reject_reason").distinct().collect()) == {"null_key", "duplicate_key"}
+    assert out.drop("reject_reason").unionAll(stays).exceptAll(clean).count() == 0
+    assert out.count() + stays.count() == clean.count()
+
+
+def test_null_keys_are_never_merged(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), (None, 2), (3, 1), (3, 2)], "k int, d int")
+    assert sorted(tuple(r) for r in dedup(df, "k", ["d"]).filter("k is null").collect()) == [(None, 1), (None, 1), (None, 2)]
+    assert dedup(df, "k", ["d"]).count() == 4
+
+
+def test_repeated_dimension_keys_stop_the_run(spark, mart):
+    twice = Layer({n: lambda n=n: mart[n].union(mart[n]) if n == "dim_company" else mart[n] for n in mart})
+    check_dimension_keys(mart)
+    with pytest.raises(ValueError, match="dim_company: 5"):
+        check_dimension_keys(twice)
