@@ -483,7 +483,7 @@ _SAMPLE = """
           from fact_payroll p left join dim_employee e on e.employee_id = p.employee_id
           left join dim_departments d on d.department_id = p.department_id
           left join dim_company c on c.company_id = p.company_id)
-    order by source_fact, transaction_id, transaction_date nulls first, k1 nulls first, k2 nulls first,
+    order by source_fact, transaction_id nulls first, transaction_date nulls first, k1 nulls first, k2 nulls first,
              k3 nulls first, amount nulls first, status nulls first
     limit 10"""
 
