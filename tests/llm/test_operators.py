@@ -380,9 +380,9 @@ def test_ppm_against_a_plain_version():
             left = {s: c for s, c in (own or {}).items() if s not in gone}
             n, d = sum(left.values()), len(left)
             if symbol in left:
-                return out * left[symbol] / (n + d)
+                return out * (left[symbol] - 0.5) / n
             if d:
-                out *= d / (n + d)
+                out *= d / (2 * n)
             gone = set(own or {})
         return out / (256 - len(gone))
 
@@ -408,7 +408,19 @@ def test_lm_base(spark, edge_docs):
     found = lm.score(edge_docs, learn).collect()
     got = Counter((*list(r)[:5], round(r["base_score"], 6)) for r in found)
     assert got == expected
-    assert all(r["score"] < 0 for r in found)
+    texts = [(r["text"] or "").encode() for r in rows]
+    trie = lm.Trie(*lm.gram_counts([t for t, r in zip(texts, rows) if r["learn"]], lm.DEPTH), lm.DEPTH)
+    wanted = sorted((r["doc_id"] or 0, x) for r, x in zip(rows, trie.log10(texts)))
+    for load in (lm.RANGE, 1 << 12):  # one part; many, some repeated
+        dealt = sorted((r["doc_id"] or 0, r["score"]) for r in lm.score(edge_docs.repartition(3), learn, load=load).collect())
+        assert [x for x, _ in dealt] == [x for x, _ in wanted]
+        assert [x for _, x in dealt] == pytest.approx([x for _, x in wanted], rel=1e-6)
+
+
+def test_lm_without_training(spark, edge_docs):
+    for r in lm.score(edge_docs, F.lit(False)).collect():
+        assert r["held_out"] and r["train_tokens"] == 0 and r["n_known"] == 0
+        assert r["score"] == pytest.approx(-(r["n_bytes"] + 1) * math.log10(256), rel=1e-6)
 
 
 # --- op10 -----------------------------------------------------------------------------------------------------
