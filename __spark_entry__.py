@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 from finloom.layer import Layer
 from finloom.operators import cube, quality
 from finloom.operators.clean import LATEST_BY, clean_layer, clean_table, dedup, null_policy, parse_dates, rejects
-from finloom.operators.kpis import KPIS, first_months
+from finloom.operators.kpis import KPIS, first_months, long_form
 from finloom.operators.mart import FACT_PARTITIONS, POSTED, mart_layer
 from finloom.operators.silver import silver_layer
 from finloom.plans.layers import mart_of, silver_of
 from finloom.plans.pipeline import materialize_kpis, publish_kpi_views, register_session_views, store
 from finloom.schemas import CLEAN, KEYS, MANIFEST, MART, RAW
 from finloom.scratch import fresh_folder, fresh_schema
-from finloom.sinks.tables import overwrite_table, write_together
+from finloom.sinks.tables import overwrite_table, replace_partitions, write_together
 from finloom.sources import files, samples
 from oracle.sql import QUERIES
 
@@ -129,13 +129,23 @@ def fact_gl_partition_pruned(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def kpi_tables_materialized(spark: SparkSession, folder: str) -> DataFrame:
-    """All ten KPI tables. The star schema is stored first, so that no KPI parses raw text again; of the ledger
+    """All ten KPI tables, every value of each in long form. The star schema is stored first, so that no KPI parses raw text again; of the ledger
     only the monthly rollup is."""
     schema = fresh_schema(spark, "kpis")
     mart = mart_of(samples.raw_layer(spark, folder))
     stored = store(spark, Layer({n: lambda n=n: mart[n] for n in MART if n != "fact_gl"}), schema)
     whole = Layer({**{n: lambda n=n: stored[n] for n in stored}, "fact_gl": lambda: mart["fact_gl"]})
-    return materialize_kpis(spark, whole, schema).drop("table_name")
+    materialize_kpis(spark, whole, schema)
+    return reduce(DataFrame.unionByName, [long_form(spark.table(f"{schema}.{name}"), name) for name in KPIS])
+
+
+def fact_gl_year_replaced(spark: SparkSession, folder: str) -> DataFrame:
+    """Store the whole ledger fact, replace 1998 with its revenue lines alone, and read all years back."""
+    table = f"{fresh_schema(spark, 'rerun')}.fact_gl"
+    fact = mart_of(samples.raw_layer(spark, folder))["fact_gl"]
+    overwrite_table(fact, table, partition_by=FACT_PARTITIONS)
+    replace_partitions(fact.filter("pl_section = 'Revenue'"), table, {"fiscal_year": 1998})
+    return spark.table(table).select(*MART["fact_gl"].names)
 
 
 def kpi_persistent_view(spark: SparkSession, folder: str) -> DataFrame:
@@ -158,9 +168,12 @@ def dq_duplicate_keys(raw: Layer) -> DataFrame:
     return quality.duplicate_keys_of(Layer({n: lambda n=n: _clean(raw, n) for n in CLEAN}), KEYS)
 
 
-def dq_orphans(mart: Layer) -> DataFrame:
+def dq_orphans(silver: Layer) -> DataFrame:
+    """Posted ledger lines are checked as they are, not joined to accounts first."""
+    mart = mart_layer(silver)
+    posted = silver["general_ledgers"].filter(f"status = '{POSTED}'")
     shared = {"department_id": mart["dim_departments"], "company_id": mart["dim_company"]}
-    ledger = quality.orphans(mart["fact_gl"], "fact_gl", {"account_id": mart["dim_account"], **shared})
+    ledger = quality.orphans(posted, "fact_gl", {"account_id": mart["dim_account"], **shared})
     pay = quality.orphans(mart["fact_payroll"], "fact_payroll", {"employee_id": mart["dim_employee"], **shared})
     return ledger.unionByName(pay)
 
@@ -189,6 +202,7 @@ def reference_queries() -> dict[str, Query]:
         "raw_with_audit": raw_with_audit,
         "table_overwrite_roundtrip": table_overwrite_roundtrip,
         "fact_gl_partition_pruned": fact_gl_partition_pruned,
+        "fact_gl_year_replaced": fact_gl_year_replaced,
         "kpi_tables_materialized": kpi_tables_materialized,
         "kpi_persistent_view": kpi_persistent_view,
         "clean_employee_dates": _on_raw(lambda raw: parse_dates(raw["employee"], CLEAN["employee"])),
@@ -219,7 +233,7 @@ def reference_queries() -> dict[str, Query]:
         "kpi6_first_months": _on_mart(lambda mart: first_months(KPIS[KPI6].build(mart))),
         "dq_null_counts": _on_raw(dq_null_counts),
         "dq_duplicate_keys": _on_raw(dq_duplicate_keys),
-        "dq_orphans": _on_mart(dq_orphans),
+        "dq_orphans": _on_silver(dq_orphans),
         "dq_reconcile": _on_raw(dq_reconcile),
     }
     return registered

@@ -17,10 +17,12 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int =
     return seen["n"] <= max_rows and seen["b"] <= max_bytes
 
 
-def lookup(fact: DataFrame, dimension: DataFrame, on: str, how: str = "left") -> DataFrame:
+def lookup(fact: DataFrame, dimension: DataFrame, on: str, how: str = "left", small: bool | None = None) -> DataFrame:
     """Join a fact to a dimension whose size Spark cannot read off a file.
 
     Measured small, the dimension is broadcast and the fact keeps its partitioning. Otherwise the join is left
-    to Spark: a sort-merge join whose hot keys adaptive execution splits.
+    to Spark: a sort-merge join whose hot keys adaptive execution splits. ``small`` is the verdict of a measurement
+    made before.
     """
-    return fact.join(F.broadcast(dimension) if is_small(dimension) else dimension, on, how)
+    fits = is_small(dimension) if small is None else small
+    return fact.join(F.broadcast(dimension) if fits else dimension, on, how)

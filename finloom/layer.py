@@ -6,6 +6,8 @@ from collections.abc import Callable, Iterable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from finloom.functions.joins import is_small
+
 
 class Layer(Mapping):
     """Named DataFrames. A table nobody asks for is never planned, so a query over one fact does not
@@ -14,6 +16,7 @@ class Layer(Mapping):
     def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]):
         self._makers = dict(makers)
         self._frames: dict[str, DataFrame] = {}
+        self._small: dict[str, bool] = {}
 
     @classmethod
     def stored(cls, spark: SparkSession, schema: str, names: Iterable[str]) -> Layer:
@@ -25,6 +28,12 @@ class Layer(Mapping):
             self._frames[name] = self._makers[name]()
         return self._frames[name]
 
+    def is_small(self, name: str) -> bool:
+        """Whether a whole table stays under the bounds of a broadcast; measured once."""
+        if name not in self._small:
+            self._small[name] = is_small(self[name])
+        return self._small[name]
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._makers)
 

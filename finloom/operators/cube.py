@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finloom.functions.columns import conform, named
-from finloom.functions.joins import is_small
 from finloom.layer import Layer
 from finloom.schemas import CUBE
 
@@ -50,7 +49,7 @@ def _attach(
     key: str,
     attributes: Mapping[str, str],
     wanted: set[str],
-    measured: bool = False,
+    small: bool = False,
 ) -> DataFrame:
     """Left join a dimension's wanted attributes; no join at all when none is wanted.
 
@@ -63,7 +62,7 @@ def _attach(
         return df.select(*kept)
     fact_key, dim_key = f"_fact_{key}", f"_dim_{key}"
     side = dimension.selectExpr(f"{key} AS {dim_key}", *(f"{source} AS {name}" for name, source in picked.items()))
-    if measured and is_small(side):
+    if small:
         side = F.broadcast(side)
     return df.selectExpr(f"{key} AS {fact_key}", *kept).join(side, F.expr(f"{fact_key} = {dim_key}"), "left")
 
@@ -94,7 +93,9 @@ def gl_branch(mart: Layer, columns: Iterable[str] | None = None, fact: DataFrame
     df = (mart["fact_gl"] if fact is None else fact).withColumnsRenamed(
         {"gl_id": "transaction_id", "posting_date": "transaction_date"}
     )
-    df = _attach(df, mart["dim_account"], "account_id", _ACCOUNT, wanted, measured=True)
+    # the layer's verdict on the whole dimension, the one its ledger fact was joined with
+    small = bool(wanted & set(_ACCOUNT)) and mart.is_small("dim_account")
+    df = _attach(df, mart["dim_account"], "account_id", _ACCOUNT, wanted, small)
     df = _attach(df, mart["dim_departments"], "department_id", _DEPARTMENT, wanted)
     df = _attach(df, mart["dim_company"], "company_id", _COMPANY, wanted)
     return conform(df.selectExpr("*", f"'{GENERAL_LEDGER}' AS source_fact"), CUBE, wanted)

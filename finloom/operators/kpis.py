@@ -344,3 +344,28 @@ def first_months(kpi: DataFrame, n: int = 5) -> DataFrame:
     """The first rows of a monthly KPI; the company breaks ties between rows of one month."""
     order = [c for c in ("fiscal_year", "fiscal_period", "company_id") if c in kpi.columns]
     return kpi.orderBy(*order).limit(n)
+
+
+# Columns that name a KPI's row; the others are its measures.
+ROW_COLUMNS = (
+    "fiscal_year",
+    "fiscal_period",
+    "fiscal_month_label",
+    "company_id",
+    "company_name",
+    "department_id",
+    "department_name",
+    "cost_center",
+    "position",
+    "opex_category",
+)
+
+
+def long_form(kpi: DataFrame, name: str) -> DataFrame:
+    """A KPI with one row per measure: kpi, row_key, measure, value (text of decimal(28,2))."""
+    keys = ", ".join(f"coalesce(CAST({c} AS STRING), '')" for c in kpi.columns if c in ROW_COLUMNS)
+    measures = [c for c in kpi.columns if c not in ROW_COLUMNS]
+    pairs = ", ".join(f"'{c}', CAST({amount(c)} AS STRING)" for c in measures)
+    return kpi.selectExpr(
+        f"'{name}' AS kpi", f"concat_ws('|', {keys}) AS row_key", f"stack({len(measures)}, {pairs}) AS (measure, value)"
+    )

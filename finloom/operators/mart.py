@@ -47,10 +47,10 @@ def dim_account(accounts: DataFrame) -> DataFrame:
     )
 
 
-def fact_gl(general_ledgers: DataFrame, accounts_dim: DataFrame) -> DataFrame:
+def fact_gl(general_ledgers: DataFrame, accounts_dim: DataFrame, small: bool | None = None) -> DataFrame:
     """Posted ledger lines with the attributes of their account; NULL attributes for an unknown account."""
     attributes = accounts_dim.select("account_id", "pl_section", "opex_category", "account_type", "account_name")
-    return lookup(general_ledgers.filter(f"status = '{POSTED}'"), attributes, "account_id")
+    return lookup(general_ledgers.filter(f"status = '{POSTED}'"), attributes, "account_id", small=small)
 
 
 def mart_layer(silver: Layer, dimensions: Layer | None = None) -> Layer:
@@ -60,7 +60,11 @@ def mart_layer(silver: Layer, dimensions: Layer | None = None) -> Layer:
         "dim_departments": lambda: silver["departments"],
         "dim_employee": lambda: silver["employee"],
         "dim_company": lambda: silver["company"],
-        "fact_gl": lambda: fact_gl(silver["general_ledgers"], (dimensions or mart)["dim_account"]),
+        "fact_gl": lambda: fact_gl(
+            silver["general_ledgers"],
+            (dimensions or mart)["dim_account"],
+            (dimensions or mart).is_small("dim_account"),
+        ),
         "fact_payroll": lambda: silver["payroll"],
     }
     mart = Layer({name: lambda name=name, f=f: f().select(*MART[name].names) for name, f in frames.items()})

@@ -16,20 +16,22 @@ from finloom.config import Layout
 from finloom.layer import Layer
 from finloom.operators import quality
 from finloom.operators.clean import clean_layer, rejects_layer
-from finloom.operators.cube import integrated_cube
+from finloom.operators.cube import GENERAL_LEDGER, PAYROLL, gl_branch, integrated_cube, payroll_branch
 from finloom.operators.kpis import KPIS, ROLLUP, gl_monthly
 from finloom.operators.mart import FACT_PARTITIONS, mart_layer
 from finloom.operators.silver import silver_layer
-from finloom.schemas import CLEAN, KEYS, MART, RAW
+from finloom.schemas import CLEAN, CUBE, KEYS, MART, RAW
 from finloom.sinks.tables import (
     ensure_schema,
     overwrite_table,
     publish_temp_views,
     publish_views,
+    replace_partitions,
     write_together,
 )
 
 CUBE_TABLE = "fact_integrated_datacube"
+CUBE_PARTITIONS = ("source_fact", "fiscal_year")
 
 
 def store(spark: SparkSession, layer: Layer, schema: str, table_format: str = "parquet") -> Layer:
@@ -143,12 +145,32 @@ def register_session_views(mart: Layer) -> None:
     publish_temp_views({**inputs, **{kpi.view: kpi.build(mart) for kpi in KPIS.values()}})
 
 
+def stored_cube(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The stored cube, columns in declared order."""
+    return spark.table(f"{layout.datacube}.{CUBE_TABLE}").select(*CUBE.names)
+
+
 def build_cube(spark: SparkSession, mart: Layer, layout: Layout) -> DataFrame:
-    """Store the integrated cube."""
+    """Store the integrated cube, by source and year."""
     ensure_schema(spark, layout.datacube)
     table = f"{layout.datacube}.{CUBE_TABLE}"
-    overwrite_table(integrated_cube(mart), table, layout.table_format)
-    return spark.table(table)
+    overwrite_table(integrated_cube(mart), table, layout.table_format, CUBE_PARTITIONS)
+    return stored_cube(spark, layout)
+
+
+def rerun_year(spark: SparkSession, layout: Layout, year: int, one_row_per_key: bool = False) -> DataFrame:
+    """One fiscal year again, from the raw tables as they are now, against the stored dimensions: its partitions of
+    both facts and of the cube are replaced, other years' files stay; then the KPIs are stored anew."""
+    silver = silver_layer(clean_layer(Layer.stored(spark, layout.raw, RAW), one_row_per_key))
+    fresh = mart_layer(silver, stored_mart(spark, layout))
+    facts = [n for n in MART if n.startswith("fact_")]
+    for n in facts:
+        replace_partitions(fresh[n], f"{layout.mart}.{n}", {"fiscal_year": year})
+    mart = stored_mart(spark, layout)
+    cube = f"{layout.datacube}.{CUBE_TABLE}"
+    for source, branch in ((PAYROLL, payroll_branch), (GENERAL_LEDGER, gl_branch)):
+        replace_partitions(branch(mart), cube, {"source_fact": source, "fiscal_year": year})
+    return materialize_kpis(spark, mart, layout.mart, table_format=layout.table_format)
 
 
 def run(spark: SparkSession, layout: Layout = Layout(), one_row_per_key: bool = False) -> DataFrame:  # noqa: B008

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
+_schemas: dict[str, list[str]] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -35,4 +36,12 @@ def fresh_schema(spark: SparkSession, purpose: str) -> str:
     """A new catalog schema whose managed tables live in the shared folder."""
     name = f"finloom_{purpose}_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE SCHEMA {name} LOCATION '{fresh_folder(spark, purpose)}'")
+    _schemas.setdefault(spark.sparkContext.applicationId, []).append(name)
     return name
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Drop the schemas, with their tables, that this application made by `fresh_schema`; results that were returned
+    from them can no longer be read."""
+    for name in _schemas.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP SCHEMA IF EXISTS {name} CASCADE")

@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CONCURRENT_WRITES = 8
 
@@ -37,20 +38,25 @@ def write_together(spark: SparkSession, writes: Iterable[Callable[[], None]]) ->
             done.result()
 
 
-def overwrite_partitions(df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
-    """Replace only the partitions that occur in ``df`` (re-run of one fiscal year).
+def replace_partitions(df: DataFrame, table: str, fixed: Mapping[str, object]) -> None:
+    """Replace all partitions of ``table`` that have the ``fixed`` values (re-run of one fiscal year) with the rows
+    of ``df`` that have them; partitions of those values that ``df`` no longer has are emptied as well.
 
-    The mode is a session setting for the time of the write: ``insertInto`` does not take it as an option.
+    ``fixed`` names the first partition columns, in order. The values are part of the statement, so no session setting
+    changes and other writes may run beside it; the session's partition overwrite mode must be static, its default.
     """
     spark = df.sparkSession
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    rows = df.select(*spark.table(table).columns).hint("rebalance", *partition_by)
-    spark.conf.set(setting, "dynamic")
-    try:
-        rows.write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(setting, before)
+    columns = spark.catalog.listColumns(table)
+    partitions = [c.name for c in columns if c.isPartition]
+    if list(fixed) != partitions[: len(fixed)]:
+        raise ValueError(f"{table} is partitioned by {partitions}, not first by {list(fixed)}")
+    rest = partitions[len(fixed) :]
+    for name, value in fixed.items():
+        df = df.filter(F.col(name) == F.lit(value))
+    rows = df.select(*(c.name for c in columns if c.name not in fixed))
+    rows = rows.hint("rebalance", *rest) if rest else rows.hint("rebalance")
+    values = [f"{name} = {value!r}" for name, value in fixed.items()]
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({', '.join([*values, *rest])}) SELECT * FROM {{rows}}", rows=rows)
 
 
 def publish_temp_views(frames: Mapping[str, DataFrame]) -> None:

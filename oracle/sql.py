@@ -123,6 +123,7 @@ _RAW = {
 
 # --- clean layer --------------------------------------------------------------------------------------------
 
+# Money columns of the payroll table.
 _PAY_MONEY = (
     "gross_salary bonus overtime_pay commission allowances tax_deduction social_security health_insurance "
     "retirement_contribution other_deductions net_salary"
@@ -201,6 +202,7 @@ _MART = {
                        when account_id between 7100 and 7199 then 'Tax'
                        else 'Balance Sheet' end as pl_section,
                case when account_id between 6000 and 7099
+                    -- fixed values: one category for each hundred account numbers
                     then (['Personnel', 'Occupancy', 'Technology', 'Marketing', 'Travel & Entertainment',
                            'Professional Fees', 'Communications', 'Financial Charges',
                            'Depreciation & Amortisation', 'Other Operating', 'R&D'])[account_id // 100 - 59]
@@ -233,6 +235,7 @@ def _typed_nulls(null: str, names: str) -> str:
 
 _SHARED = """d.department_id, d.department_name, d.cost_center, c.company_id, c.company_name, c.industry, c.country,
                c.established_date as company_established_date, c.is_active as company_is_active"""
+# Measures of the cube.
 _PAY_MEASURES = (
     "gross_salary bonus overtime_pay commission allowances total_compensation tax_deduction social_security "
     "health_insurance retirement_contribution other_deductions total_deductions net_salary"
@@ -487,6 +490,32 @@ _SAMPLE = """
              k3 nulls first, amount nulls first, status nulls first
     limit 10"""
 
+_MONTH_COMPANY = f"{_MONTH}, company_id, company_name"
+_DEPARTMENT = "company_id, company_name, department_id, department_name"
+_KPI_ROWS = {
+    "kpi1_monthly_consolidated_revenue": _MONTH,
+    "kpi2_cost_of_sales_by_month": _MONTH_COMPANY,
+    "kpi3_gross_profit_margin": _MONTH_COMPANY,
+    "kpi4_opex_breakdown": f"{_MONTH_COMPANY}, opex_category",
+    "kpi5_avg_compensation_by_position": "company_id, company_name, position",
+    "kpi6_net_profit_by_month": _MONTH_COMPANY,
+    "kpi7_overtime_bonus_analysis": _DEPARTMENT,
+    "kpi8_cost_per_department": f"{_DEPARTMENT}, cost_center",
+    "kpi9_headcount_by_department": f"{_DEPARTMENT}, cost_center",
+    "kpi10_payroll_cost_pct_revenue": _MONTH_COMPANY,
+}
+
+
+def _every_value(name: str, body: str, keys: str) -> str:
+    key = ", ".join(f"coalesce(cast({k} as varchar), '')" for k in keys.split(", "))
+    return f"""
+        select '{name}' as kpi, row_key, measure, value
+        from (select concat_ws('|', {key}) as row_key,
+                     cast(cast(columns(* exclude ({keys})) as decimal(28,2)) as varchar)
+              from ({body}))
+        unpivot include nulls (value for measure in (columns(* exclude (row_key))))"""
+
+
 _KEYS = {
     "accounts": "account_id",
     "company": "company_id",
@@ -519,8 +548,11 @@ _BODIES: dict[str, str] = {
     "raw_with_audit": "select *, 'batch-1' as _batch_id, true as has_source_file from raw_employee",
     "table_overwrite_roundtrip": "select * from dim_employee",
     "fact_gl_partition_pruned": f"select {_FACT_GL_ORDER} from fact_gl where fiscal_year = 1998",
+    "fact_gl_year_replaced": f"""
+        select {_FACT_GL_ORDER} from fact_gl
+        where fiscal_year is distinct from 1998 or pl_section = 'Revenue'""",
     "kpi_tables_materialized": " union all ".join(
-        f"select '{name}' as kpi, count(*) as n_rows from ({body})" for name, body in KPI_SQL.items()
+        _every_value(name, KPI_SQL[name], keys) for name, keys in _KPI_ROWS.items()
     ),
     "kpi_persistent_view": KPI_SQL["kpi6_net_profit_by_month"],
     "clean_employee_dates": f"select * replace ({_EMPLOYEE_DATES}) from raw_employee",

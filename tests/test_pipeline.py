@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from compare import connect, difference
+from finloom import scratch
 from finloom.config import Layout
 from finloom.operators.kpis import KPIS, ROLLUP, gl_monthly
 from finloom.operators.mart import FACT_PARTITIONS
@@ -13,7 +14,7 @@ from finloom.plans import pipeline
 from finloom.plans.layers import mart_of, silver_of
 from finloom.schemas import CLEAN, CUBE, MART, RAW, SILVER
 from finloom.scratch import fresh_schema
-from finloom.sinks.tables import overwrite_partitions, overwrite_table
+from finloom.sinks.tables import overwrite_table, replace_partitions
 from finloom.sources import files
 from finloom.sources.samples import manifest, raw_layer
 from oracle.sql import QUERIES
@@ -47,7 +48,7 @@ def test_stored_kpi_equals_check(spark, stored, small, name):
 
 
 def test_stored_cube_equals_check(spark, stored, small):
-    cube = spark.table(f"{stored[0].datacube}.{pipeline.CUBE_TABLE}")
+    cube = pipeline.stored_cube(spark, stored[0])  # partition columns come last in the table
     assert cube.schema.simpleString() == CUBE.simpleString()
     assert difference(cube, connect(small), QUERIES["fact_integrated_datacube"]) is None
 
@@ -91,10 +92,35 @@ def test_one_year_can_be_replaced(spark, mart):
     table = f"{fresh_schema(spark, 'rerun')}.fact_gl"
     overwrite_table(mart["fact_gl"], table, partition_by=FACT_PARTITIONS)
     before = {r["fiscal_year"]: r["count"] for r in spark.table(table).groupBy("fiscal_year").count().collect()}
-    overwrite_partitions(mart["fact_gl"].filter("fiscal_year = 1998").limit(3), table, FACT_PARTITIONS)
+    replace_partitions(mart["fact_gl"].filter("fiscal_year = 1998").limit(3), table, {"fiscal_year": 1998})
     after = {r["fiscal_year"]: r["count"] for r in spark.table(table).groupBy("fiscal_year").count().collect()}
     assert {y: n for y, n in after.items() if y != 1998} == {y: n for y, n in before.items() if y != 1998}
-    assert 3 <= after[1998] < before[1998]
+    assert after[1998] == 3 < before[1998]
+    with pytest.raises(ValueError, match="partitioned"):
+        replace_partitions(mart["fact_gl"], table, {"company_id": 1})
+
+
+def test_year_rerun_changes_nothing_if_the_raw_tables_did_not(spark, stored):
+    layout, status = stored
+    tables = [f"{layout.mart}.fact_gl", f"{layout.mart}.fact_payroll", f"{layout.datacube}.{pipeline.CUBE_TABLE}"]
+    before = [spark.table(t).selectExpr("count(*)", "sum(CAST(xxhash64(*) AS DECIMAL(20)))").first() for t in tables]
+    again = pipeline.rerun_year(spark, layout, 1998)
+    assert {r["kpi"]: (r["table_name"], r["n_rows"]) for r in again.collect()} == status
+    for t in tables:
+        spark.catalog.refreshTable(t)
+    assert [spark.table(t).selectExpr("count(*)", "sum(CAST(xxhash64(*) AS DECIMAL(20)))").first() for t in tables] == before
+    parts = [c.name for c in spark.catalog.listColumns(tables[2]) if c.isPartition]
+    assert parts == list(pipeline.CUBE_PARTITIONS)
+
+
+def test_scratch_schemas_can_be_dropped(spark):
+    name = fresh_schema(spark, "gone")
+    spark.range(3).write.saveAsTable(f"{name}.t")
+    own = dict(scratch._schemas)
+    scratch._schemas[spark.sparkContext.applicationId] = [name]
+    scratch.drop_scratch(spark)
+    scratch._schemas.update(own)
+    assert not spark.catalog.databaseExists(name)
 
 
 def test_session_views(spark, mart):

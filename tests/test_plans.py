@@ -59,6 +59,21 @@ def test_partition_pruning(spark, small):
     assert re.search(r"PartitionFilters: \[.*fiscal_year", text)
 
 
+@pytest.mark.parametrize("name", ["fact_gl", "datacube_gl", "fact_integrated_datacube", "datacube_sample"])
+def test_a_dimension_is_measured_once(spark, small, monkeypatch, name):
+    measured = []
+    check = joins.is_small
+    monkeypatch.setattr("finloom.layer.is_small", lambda df: measured.append(df) or check(df))
+    monkeypatch.setattr(joins, "is_small", lambda df: measured.append(df) or check(df))
+    registry.queries()[name](spark, small)
+    assert len(measured) == 1
+
+
+def test_orphans_need_no_account_join(spark, small):
+    text = plan(registry.queries()["dq_orphans"](spark, small))
+    assert len(re.findall(r"FileScan[^\n]*/part\.parquet", text)) == 1
+
+
 def test_large_dimension_is_not_broadcast(spark, monkeypatch):
     """Beyond the bound the join is a shuffle join with the same rows."""
     fact = spark.range(100).selectExpr("id % 7 AS k", "id AS v")
