@@ -13,12 +13,19 @@ ordinary texts stays on the scale the threshold refers to. PRIOR documents of sm
    verified links merged into classes by label propagation. In buckets that still hold several classes, members are
    dealt by hash into parts of about BESIDE, and those of different classes within a part are verified as well; they
    are dealt anew until a round finds no link. So the work of a round follows the size of a bucket, not its square; no
-   bucket is capped, and small ones are compared in full. Two similar texts of a large bucket can stay apart if neither
-   is its hub, they share no part in any round, and no third text links them; the README has figures.
-3. A class keeps the document with the smallest doc_id.
-
-Hot groups: exact copies are counted before the shuffle; hub links grow with the members of a bucket. Only joins with
-one row per key on one side see a hot key, which adaptive execution splits. Labels, links and texts of candidates are
+   bucket is capped, and small ones are compared in full.
+3. Larger buckets that still hold several classes are finished exactly. A text's shingles are ordered by document
+   frequency (that of the idf's buckets), rarest first; `rest` is the weight from a shingle to the end. Texts of
+   similarity t share at least t / (1 + t) of the sum of their weights, all of it in the `rest` of the first shingle
+   they share. So each text deals out only the shingles whose `rest` is at least t of its weight, and pairs of different
+   classes that meet there, with `rest` enough on both sides, are all verified. No pair of texts that share a bucket and
+   are similar enough stays in two classes.
+4. A class keeps the document with the smallest doc_id.
+
+Hot groups: exact copies are counted before the shuffle; hub links grow with the members of a bucket. Joins with one row
+per key on one side see a hot key, which adaptive execution splits. Where texts meet at a shingle, only those outside its
+most frequent class look for partners, so what is compared is at most twice the pairs of different classes, and they are
+dealt by hash into parts of about DEAL. Labels, links and texts of candidates are
 stored in the shared folder, each once a round.
 
 Defined results: null and empty texts have no shingle and are nobody's near-duplicate, nor each other's; documents with
@@ -44,6 +51,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
 IDF_BITS = 17
 BESIDE = 8
+DEAL = 1000  # texts that meet at a shingle, in one part
 COMMON, FLOOR, PRIOR = 1 / 3, 0.25, 1000
 _GROUP = 1 << 20  # bytes of text handled at once
 _STEPS = [np.uint64(pow(0xC2B2AE3D27D4EB4F, k + 1, 1 << 64)) for k in range(SHINGLE)]
@@ -128,8 +136,8 @@ def _groups(texts: list[bytes]) -> Iterator[slice]:
         yield slice(begin, len(texts))
 
 
-def idf_table(documents: DataFrame) -> np.ndarray:
-    """The idf of every bucket, from all documents' shingles; 2^IDF_BITS numbers."""
+def frequencies(documents: DataFrame) -> tuple[np.ndarray, float]:
+    """(documents that have a shingle of each bucket, documents); 2^IDF_BITS numbers."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n = np.zeros(1 << IDF_BITS, np.int64), 0
@@ -150,11 +158,19 @@ def idf_table(documents: DataFrame) -> np.ndarray:
     bucket, n = counts["bucket"].to_numpy(), counts["n"].to_numpy()
     found = np.zeros(1 << IDF_BITS)
     found[bucket[bucket >= 0]] = n[bucket >= 0]
-    everything = float(n[bucket < 0].sum()) + PRIOR
-    idf = np.log(everything / np.maximum(found, 1)) / np.log(1 / COMMON)
+    return found, float(n[bucket < 0].sum())
+
+
+def idf_of(found: np.ndarray, n: float) -> np.ndarray:
+    idf = np.log((n + PRIOR) / np.maximum(found, 1)) / np.log(1 / COMMON)
     return np.clip(idf, FLOOR, 1.0).astype(np.float32)
 
 
+def idf_table(documents: DataFrame) -> np.ndarray:
+    """The idf of every bucket, from all documents' shingles."""
+    return idf_of(*frequencies(documents))
+
+
 def _signatures(documents: DataFrame, idf: np.ndarray) -> DataFrame:
     """doc_id, digest of the words, a key for each band; documents without words are left out."""
 
@@ -185,6 +201,7 @@ def _signatures(documents: DataFrame, idf: np.ndarray) -> DataFrame:
     return rows.mapInArrow(sign, "doc_id bigint, digest binary, bands array<bigint>")
 
 
+_UNDER = 1 - 1e-6  # bounds of sums of floats stay on the safe side
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -222,6 +239,65 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, least: float)
     return rows.mapInArrow(verify, "a bigint, b bigint")
 
 
+def _rarest(placed: DataFrame, found: np.ndarray, idf: np.ndarray, least: float) -> DataFrame:
+    """placed: rep, label, text. (rep, label, shingle, rest, total) of the shingles that a similar text must share."""
+    common = found.astype(np.float32)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            reps, labels = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            texts = as_bytes(batch.column(2))
+            for part in _groups(texts):
+                owner, hashes, tf = shingles(texts[part])
+                weight = weights(hashes, tf, idf).astype(np.float64)
+                order = np.lexsort((hashes, common[(hashes >> np.uint64(64 - IDF_BITS)).astype(np.int64)], owner))
+                owner, hashes, weight = owner[order], hashes[order], weight[order]
+                n = len(texts[part])
+                total = np.bincount(owner, weight, n)
+                before = np.cumsum(weight) - weight
+                first = np.searchsorted(owner, np.arange(n))[owner]
+                rest = total[owner] - (before - before[first])
+                keep = rest >= least * total[owner] * _UNDER
+                at = owner[keep]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(reps[part][at], pa.int64()),
+                        pa.array(labels[part][at], pa.int64()),
+                        pa.array(hashes[keep].view(np.int64)),
+                        pa.array(rest[keep]),
+                        pa.array(total[at]),
+                    ],
+                    ["rep", "label", "shingle", "rest", "total"],
+                )
+
+    return placed.select("rep", "label", "text").mapInArrow(
+        deal, "rep bigint, label bigint, shingle bigint, rest double, total double"
+    )
+
+
+def _candidates(rare: DataFrame, least: float) -> DataFrame:
+    """Every pair (a, b) of different classes that shares a shingle with enough weight from there on."""
+    per = rare.groupBy("shingle", "label").agg(F.count("*").alias("n")).groupBy("shingle").agg(
+        F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("kinds")
+    )
+    deals = F.ceil(F.col("n") / DEAL).alias("deals")
+    met = stored(rare.join(per.filter("kinds > 1").select("shingle", "main", deals), "shingle"), "near-met")
+    deal = F.pmod(F.xxhash64("rep"), F.col("deals")).alias("deal")
+    one = met.filter("label != main").select("shingle", deal, "rep", "label", "rest", "total")
+    two = met.select(
+        "shingle",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("deals") - 1)).alias("deal"),
+        F.col("rep").alias("other"),
+        F.col("label").alias("other_label"),
+        F.col("rest").alias("other_rest"),
+        F.col("total").alias("other_total"),
+        (F.col("label") == F.col("main")).alias("other_main"),
+    )
+    enough = F.least("rest", "other_rest") >= F.lit(least / (1 + least) * _UNDER) * (F.col("total") + F.col("other_total"))
+    pairs = one.join(two, ["shingle", "deal"]).filter(enough & F.expr("label != other_label and (other_main or rep < other)"))
+    return pairs.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+
+
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(rep, label): the smallest node each node is connected to; links are (a, b), in either direction."""
     both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "near-both")
@@ -256,7 +332,8 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def classes(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id, n_links (verified links of its text) of every document with words that is in a class."""
-    idf = idf_table(documents)
+    found = frequencies(documents)
+    idf = idf_of(*found)
     signed = stored(_signatures(documents, idf), "near-signatures")
     # one text per digest; the smallest doc_id stands for it
     distinct = signed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("bands").alias("bands"))
@@ -294,12 +371,24 @@ def classes(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:
         if not more.limit(1).count():
             break
         labels, links, tested, turn = _relabelled(labels, more), links.union(more), tested.union(beside), turn + 1
+    # what large buckets still hold in several classes, exactly; in the others all members were beside each other
+    tested = tested.union(beside)
+    several = members.filter(F.col("n") > BESIDE).join(labels, "rep").groupBy("band", "key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    divided = members.join(several.filter("low < high"), ["band", "key"]).select("rep").distinct()
+    divided = divided.join(labels, "rep").join(texts, "rep")
+    left = _candidates(stored(_rarest(divided, found[0], idf, least), "near-rarest"), least)
+    left = stored(left.join(tested, ["a", "b"], "left_anti"), "near-pairs")
+    more = stored(_verified(left, texts, idf, least), "near-links")
+    if more.limit(1).count():
+        labels, links = _relabelled(labels, more), links.union(more)
     ends = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep")))
     degree = ends.groupBy("rep").agg(F.count("*").alias("n_links"))
     out = distinct.select("rep", "digest").join(labels, "rep", "left").join(degree, "rep", "left")
     out = out.select("digest", F.coalesce("label", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    found = signed.select("doc_id", "digest").join(out, "digest")
-    return found.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.max("n_links").alias("n_links"))
+    rows = signed.select("doc_id", "digest").join(out, "digest")
+    return rows.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.max("n_links").alias("n_links"))
 
 
 def near_duplicates(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:

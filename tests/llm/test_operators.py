@@ -328,6 +328,30 @@ def test_near_dedup_against_every_pair(spark, words):
     assert {r["doc_id"] for r in near_dedup.keep_one(docs).collect()} == set(label.values())
 
 
+def test_near_dedup_in_a_large_bucket(spark, words):
+    """400 texts about a shared passage, just too far apart, and 6 hidden pairs that agree in three words more."""
+    passage, n = words(1, 160), 400
+    tails = [[f"t{i}x{k}" for k in range(22)] for i in range(n)]
+    for i in range(0, 12, 2):
+        tails[i + 1][:3] = tails[i][:3]
+    texts = {i: f"{passage} {' '.join(tail)}" for i, tail in enumerate(tails)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    sets = {i: set(zip(*(t.split()[k:] for k in range(5)))) for i, t in texts.items()}
+    assert all(len(s) == len(t.split()) - 4 for s, t in zip(sets.values(), texts.values()))  # each once: weight 1
+    idf = near_dedup.idf_table(docs)
+    bands = {r["doc_id"]: set(enumerate(r["bands"])) for r in near_dedup._signatures(docs, idf).collect()}
+    label = {i: i for i in texts}
+    for a in texts:
+        for b in range(a):
+            same = len(sets[a] & sets[b])
+            if bands[a] & bands[b] and same / (len(sets[a]) + len(sets[b]) - same) >= 0.8:
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = {k: new if v == old else v for k, v in label.items()}
+    assert len(set(label.values())) == n - 6
+    found = near_dedup.near_duplicates(docs).collect()
+    assert {r["doc_id"]: r["class_id"] for r in found} == label
+
+
 def test_near_dedup_rows(spark, edge_docs):
     kept = near_dedup.keep_one(edge_docs)
     assert kept.columns == edge_docs.columns
