@@ -3,8 +3,10 @@
 Documents linked through a hub (here: equal texts) should share a shard. Every document starts in the shard its id
 hashes to. In each round, joins tell every linked document how many of its neighbours each shard holds; it wants to move
 to the shard with the most, if that is more than where it is. A shard accepts as many as its quota leaves room for,
-chosen by a hash threshold taken from a histogram of the wishes; a full shard is no goal in the next round, so the
-members of a hub larger than a shard gather in as few shards as it takes. Rounds end when nothing moves.
+chosen by a hash threshold taken from a histogram of the wishes. The bucket in which a shard's room ends is split into
+finer ones, and only it, until the room is used to the row: a shard with more wishes than room is full after the round.
+A full shard is no goal in the next round, so the members of a hub larger than a shard gather in as few shards as it
+takes. Rounds end when nothing moves.
 
 Then sizes are made even exactly: linked documents hold the first slots of a shard, and what lies beyond the shard's
 share (unlinked documents only, because the quota is the smaller share) goes to the shards that miss rows. Counts
@@ -28,7 +30,8 @@ from finloom.llm.store import stored
 
 SHARDS = 16
 ROUNDS = 24
-GRAIN = 1024  # hash buckets of the wishes
+GRAIN = 1024  # hash buckets of the wishes, and of each bucket that is split
+PLACES = 1 << 50  # of the hash
 PIECE = 20_000
 
 
@@ -42,6 +45,35 @@ def _from(numbers: list[int], index: Column) -> Column:
     return F.element_at(F.array(*(F.lit(int(x)).cast("bigint") for x in numbers)), (index + 1).cast("int"))
 
 
+def _limits(wishes: DataFrame, room: list[int]) -> list[int]:
+    """The place below which each shard accepts wishes (to, place) so that its room is used to the row."""
+    shards = len(room)
+    left, low, upto = list(room), [0] * shards, [0] * shards
+    open_, span = [k for k in range(shards) if room[k] > 0], PLACES
+    while open_ and span > 1:
+        width, span = span, -(-span // GRAIN)
+        begin = _from(low, F.col("to"))
+        here = wishes.filter(F.col("to").isin(open_) & (F.col("place") >= begin) & (F.col("place") < begin + width))
+        bucket = F.floor((F.col("place") - begin) / span).alias("bucket")
+        running = F.sum("n").over(Window.partitionBy("to").orderBy("bucket"))  # GRAIN rows at most
+        histogram = here.groupBy("to", bucket).agg(F.count("*").alias("n")).withColumn("upto", running)
+        beyond = F.col("upto") > _from(left, F.col("to"))
+        first = histogram.groupBy("to").agg(
+            F.min(F.when(beyond, F.struct("bucket", (F.col("upto") - F.col("n")).alias("before")))).alias("first")
+        )
+        found = {r["to"]: r["first"] for r in first.collect()}  # a row per shard
+        for k in open_:
+            if found.get(k) is None:  # all of them fit
+                low[k] += width if k in found else 0
+                left[k] = 0
+            else:
+                low[k] += found[k]["bucket"] * span
+                left[k] -= found[k]["before"]
+            upto[k] = low[k]
+        open_ = [k for k in open_ if left[k] > 0]
+    return upto
+
+
 def propagate(members: DataFrame, shards: int, quota: int, rounds: int = ROUNDS) -> DataFrame:
     """(row, hub), linked documents only and any number of hubs a document: (row, shard) after propagation.
 
@@ -66,15 +98,12 @@ def propagate(members: DataFrame, shards: int, quota: int, rounds: int = ROUNDS)
         gains = gains.filter((F.col("goal.shard") != F.col("shard")) & (gain > 0))
         wishes = gains.groupBy("row", F.col("goal.shard").alias("to")).agg(F.sum(gain).alias("gain"))
         wishes = wishes.groupBy("row").agg(F.max_by("to", F.struct("gain", "to")).alias("to"))
-        grain = F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(GRAIN))
-        wishes = stored(wishes.withColumn("grain", grain), "shard-wishes")
-        running = F.sum("n").over(Window.partitionBy("to").orderBy("grain"))  # GRAIN rows at most
-        histogram = wishes.groupBy("to", "grain").agg(F.count("*").alias("n")).withColumn("upto", running)
-        fits = histogram.filter(F.col("upto") <= _from(room, F.col("to"))).groupBy("to").agg(F.max("grain").alias("grain"))
-        limits = {r["to"]: r["grain"] for r in fits.collect()}  # a number per shard
-        if not limits:
+        place = F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(PLACES))
+        wishes = stored(wishes.withColumn("place", place), "shard-wishes")
+        limits = _limits(wishes, room)
+        if not any(limits):
             break
-        accepted = wishes.filter(F.col("grain") <= _from([limits.get(k, -1) for k in range(shards)], F.col("to")))
+        accepted = wishes.filter(F.col("place") < _from(limits, F.col("to")))
         moved = state.join(accepted.select("row", "to"), "row", "left")
         state = stored(moved.select("row", F.coalesce("to", "shard").alias("shard")), "shard-state")
     return state

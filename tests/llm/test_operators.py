@@ -382,6 +382,17 @@ def test_sharding(spark, edge_docs, words):
     assert len(large) <= 6
 
 
+def test_sharding_uses_room_to_the_row(spark, monkeypatch):
+    """A hub of a third of all rows fills shards exactly, though a bucket of wishes holds far more than is left over."""
+    monkeypatch.setattr(sharding, "GRAIN", 4)
+    rows = [(i, "hub" if i % 3 == 0 else f"text {i}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sharding.assign(docs).collect()
+    held = Counter(r["shard"] for r in found if r["doc_id"] % 3 == 0)
+    assert sorted(held.values(), reverse=True) == [187, 187, 187, 187, 187, 65]  # 3000 rows on 16 shards: quota 187
+    assert Counter(Counter(r["shard"] for r in found).values()) == {187: 8, 188: 8}
+
+
 # --- op9 ------------------------------------------------------------------------------------------------------
 
 
