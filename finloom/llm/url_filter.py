@@ -3,7 +3,8 @@
 For each host the paths form a tree of segments, built level by level from counts that Spark aggregates:
 
 1. variable segments: a segment of digits, hex, a date or a file name of digits becomes its class (`<num>` ...);
-   then, under one parent, if the different segments are many, each rare, all of them become `*`;
+   then, under one parent, if the rare segments (each at most a small share of the parent's URLs) are many, these
+   become `*`; a frequent segment stays a branch of its own, however many rare ones are beside it;
 2. similar branches: a branch whose share of labelled block URLs and share of URLs ending there do not differ
    significantly (two-proportion z-tests) from its siblings together is merged into `*` as well;
 3. a template is rejected when its labelled URLs are mostly to block: (blocked + s * base) / (labelled + s) with the
@@ -33,8 +34,8 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 @dataclass(frozen=True)
 class Settings:
     depth: int = 4
-    many: int = 20  # different segments under one parent
-    rare: float = 0.1  # of the parent's URLs, at most, in each of them on average
+    many: int = 20  # rare segments under one parent
+    rare: float = 0.1  # of the parent's URLs, at most, in each of them
     z: float = 1.96
     strength: float = 2.0
     reject: float = 0.7
@@ -107,15 +108,17 @@ def templates(paths: DataFrame, settings: Settings = Settings()) -> DataFrame:
             .agg(*(F.sum(x).alias(x) for x in ("urls", "blocked", "labelled")), F.sum(ends).alias("ending"))
         )
         totals = children.groupBy("host", "template").agg(
-            F.count("*").alias("kinds"),
             F.sum("urls").alias("all_urls"),
             F.sum("blocked").alias("all_blocked"),
             F.sum("labelled").alias("all_labelled"),
             F.sum("ending").alias("all_ending"),
         )
-        judged = children.join(totals, ["host", "template"])
+        rare = F.col("urls") <= settings.rare * F.col("all_urls")
+        judged = children.join(totals, ["host", "template"]).withColumn("rare", rare)
+        kinds = judged.groupBy("host", "template").agg(F.count_if("rare").alias("kinds"))
+        judged = judged.join(kinds, ["host", "template"])
         other = {x: F.col(f"all_{x}") - F.col(x) for x in ("urls", "blocked", "labelled", "ending")}
-        variable = (F.col("kinds") >= settings.many) & (1 / F.col("kinds") <= settings.rare)
+        variable = F.col("rare") & (F.col("kinds") >= settings.many)
         evidence = (F.col("labelled") > 0) & (other["labelled"] > 0)
         similar = evidence & F.coalesce(
             (_z(F.col("blocked"), F.col("labelled"), other["blocked"], other["labelled"]) < settings.z)

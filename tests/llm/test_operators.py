@@ -139,6 +139,19 @@ def test_url_templates(spark):
     assert found["/a/*"]["purity"] == pytest.approx((25 + 2 * 25 / 28) / 27)
 
 
+def test_url_frequent_section_stays_a_branch(spark):
+    """One hot labelled section among many: its verdict is not that of the others, on either side of 20 sections."""
+    for sections in (15, 40):
+        urls = [f"http://a.com/de/{i}" for i in range(300)]
+        urls += [f"http://a.com/s{k}x/{i}" for k in range(sections) for i in range(600 // sections)]
+        pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+        found = url_filter.judge(pages, {"a.com/de/": "block"}).collect()
+        assert all(r["verdict"] == ("block" if r["page_id"] < 300 else "allow") for r in found)
+        assert {r["template"] for r in found if r["page_id"] < 300} == {"/de/<num>"}
+        if sections == 40:
+            assert {r["template"] for r in found if r["page_id"] >= 300} == {"/*/<num>"}
+
+
 # --- op3, op5 -------------------------------------------------------------------------------------------------
 
 
