@@ -16,6 +16,7 @@ from finloom.llm import (
     mixing,
     near_dedup,
     quality,
+    runs,
     sharding,
     url_filter,
 )
@@ -91,6 +92,39 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(table(spark, folder, "documents"))
 
 
+# Which documents are made periodic, from which word on and with which period.
+PERIODIC = r"""
+CASE WHEN crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 10 = 0 THEN
+  transform(array(named_struct('w', regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0),
+                               'g', crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) div 10)),
+    s -> CASE WHEN size(s.w) = 0 THEN text ELSE
+      transform(array(named_struct('a', CAST(s.g % size(s.w) AS INT),
+                                   'p', CAST(1 + (size(s.w) - s.g % size(s.w)) div (3 + s.g % 8) AS INT))),
+        t -> array_join(transform(sequence(0, size(s.w) - 1),
+          i -> element_at(s.w, 1 + CASE WHEN i < t.a THEN i ELSE t.a + (i - t.a) % t.p END)), ' '))[0] END)[0]
+ELSE text END"""
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", F.expr(PERIODIC).alias("text"))
+    found = runs.periodic_runs(documents, keep=["doc_id"])
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    told = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    # the longest run; of equally long ones the first, then the one with the smaller period
+    order = F.transform("runs", lambda r: F.struct(r["length"].alias("l"), -r["start"], -r["period"], r.alias("run")))
+    longest = F.array_max(order)["run"]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        longest["start"].alias("start"),
+        longest["length"].alias("length"),
+        longest["period"].alias("period"),
+        F.floor(longest["length"] * 1000 / longest["period"]).alias("exponent_milli"),
+        F.sha2(told, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -105,5 +139,6 @@ def queries() -> dict[str, Query]:
             op8_sharding,
             op9_lm_score,
             op10_mixing,
+            op11_periodic_runs,
         )
     }
