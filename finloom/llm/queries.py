@@ -15,6 +15,7 @@ from finloom.llm import (
     lm,
     mixing,
     near_dedup,
+    negatives,
     quality,
     runs,
     sharding,
@@ -125,6 +126,11 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, folder, "embeddings"), F.col("id") % 100 == 0, moved)
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -140,5 +146,6 @@ def queries() -> dict[str, Query]:
             op9_lm_score,
             op10_mixing,
             op11_periodic_runs,
+            op13_hard_negatives,
         )
     }
