@@ -19,6 +19,7 @@ from finloom.llm import (
     quality,
     runs,
     sharding,
+    substrings,
     url_filter,
 )
 
@@ -126,6 +127,27 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    found = substrings.repeated_spans(documents).select(
+        "id",
+        F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["length"]).alias("removed"),
+        F.size("spans").cast("bigint").alias("spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+    body = substrings.as_binary(F.col("text"))
+    # the text's own digest is also that of the kept bytes where nothing is removed
+    rows = documents.select("doc_id", F.octet_length(body).cast("bigint").alias("n_bytes"), F.sha2(body, 256).alias("whole"))
+    rows = rows.withColumn("id", F.substring(F.unhex("whole"), 1, 16))
+    return rows.join(found, "id", "left").select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce("removed", F.lit(0)).alias("n_removed"),
+        F.coalesce("spans", F.lit(0)).alias("n_spans"),
+        F.coalesce("kept_sha256", "whole").alias("kept_sha256"),
+    )
+
+
 def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(table(spark, folder, "embeddings"), F.col("id") % 100 == 0, moved)
@@ -146,6 +168,7 @@ def queries() -> dict[str, Query]:
             op9_lm_score,
             op10_mixing,
             op11_periodic_runs,
+            op12_substrings,
             op13_hard_negatives,
         )
     }
