@@ -43,7 +43,7 @@ from finloom.scratch import fresh_schema
 
 W = 400
 K = 200
-LIMIT = 2048  # classes of one group that a task compares
+LIMIT = 32  # classes of one group that a suffix array compares at once; larger groups are halved first
 _PIECE = 1 << 21  # bytes handled at a time
 _SYMBOLS = 1 << 15  # symbols of one suffix array
 
@@ -387,27 +387,25 @@ _REACH = "key bigint, core bigint, class binary, back bigint, ahead bigint"
 
 
 def _compare(groups: DataFrame, w: int, k: int) -> DataFrame:
-    """How far repeated windows reach around each member's anchor, from the suffix array of its group. Rows: grp, low and
-    high (places of the anchor in the windows compared), key, core, class, done, back, ahead."""
+    """How far repeated windows reach around each member's anchor, from the suffix array of its group. Rows: one, two (the
+    group), low and high (places of the anchor in the windows compared), key, core, class, done, back, ahead."""
     spread = w - k
     names = [x.split()[0] for x in _REACH.split(", ")]
     kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
 
     def compared(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        numbers: dict[bytes, int] = {}
-        group = [numbers.setdefault(r["grp"], len(numbers)) for r in rows]
-        # windows have the anchor low to high bytes after their start: what all of them hold is alike in a group
-        left = [r["back"][r["low"] : r["high"]] for r in rows]
-        right = [r["ahead"][spread - r["high"] : spread - r["low"]] for r in rows]
         found: list[tuple] = []
-        by_width: dict[int, list[int]] = {}
-        for i, r in enumerate(rows):
-            by_width.setdefault(r["high"] - r["low"], []).append(i)
-        for width, at in by_width.items():
-            reach = matched([group[i] for i in at], [left[i] for i in at], [right[i] for i in at], width)
-            for i, x in zip(at, reach):
-                if x is not None and not rows[i]["done"]:
-                    r = rows[i]
+        by_width: dict[int, list[dict]] = {}
+        for r in rows:
+            by_width.setdefault(r["high"] - r["low"], []).append(r)
+        for width, same in by_width.items():
+            numbers: dict[tuple[int, int], int] = {}
+            group = [numbers.setdefault((r["one"], r["two"]), len(numbers)) for r in same]
+            # windows have the anchor low to high bytes after their start: what all of them hold is alike in a group
+            left = [r["back"][r["low"] : r["high"]] for r in same]
+            right = [r["ahead"][spread - r["high"] : spread - r["low"]] for r in same]
+            for r, x in zip(same, matched(group, left, right, width)):
+                if x is not None and not r["done"]:
                     found.append((r["key"], r["core"], r["class"], r["low"] + x[0], spread - r["high"] + x[1]))
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), kinds)], names)
@@ -417,52 +415,53 @@ def _compare(groups: DataFrame, w: int, k: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 # a few symbols stand for a row; only whole groups are compared
-                if len(held) >= _SYMBOLS // 8 and held[-1]["grp"] != row["grp"]:
+                if len(held) >= _SYMBOLS // 8 and (held[-1]["one"], held[-1]["two"]) != (row["one"], row["two"]):
                     yield from compared(held)
                     held = []
                 held.append(row)
         if held:
             yield from compared(held)
 
-    return groups.repartition("grp").sortWithinPartitions("grp").mapInArrow(look, _REACH)
+    columns = ["one", "two", "low", "high", "key", "core", "class", "done", "back", "ahead"]
+    return groups.select(*columns).repartition("one", "two").sortWithinPartitions("one", "two").mapInArrow(look, _REACH)
+
+
+def _hashed(*parts: Column | str) -> list[Column]:
+    """128 bits of hash in two columns."""
+    return [F.xxhash64(F.lit(salt), *parts) for salt in (1, 2)]
 
 
 def _halved(hot: DataFrame, w: int, k: int, limit: int) -> list[DataFrame]:
-    """What windows of very large groups repeat: groups are halved by the anchor's place in the window until a task can
-    compare them."""
+    """What windows of large groups repeat: groups are halved by the anchor's place in the window, and reduced to classes
+    again, until a task can compare them."""
     spread = F.lit(w - k)
+    middle = ((F.col("low") + F.col("high")) / 2).cast("int")
+    halves = F.array(
+        F.struct(F.col("low").alias("a"), middle.alias("b")), F.struct((middle + 1).alias("a"), F.col("high").alias("b"))
+    )
+    back, ahead = F.substring("back", F.lit(1), F.col("b")), F.substring("ahead", F.lit(1), spread - F.col("a"))
+    # all windows of a half hold a bytes before the anchor and w - k - b after it
+    shared = (F.substring("back", F.lit(1), F.col("a")), F.substring("ahead", F.lit(1), spread - F.col("b")))
+    place, own = ["one", "two"], ["own_one", "own_two"]
     found = []
     while not hot.isEmpty():
-        middle = ((F.col("low") + F.col("high")) / 2).cast("int")
-        halves = F.explode(F.array(F.struct(F.col("low").alias("a"), middle.alias("b")), F.struct((middle + 1).alias("a"), F.col("high").alias("b"))))
-        rows = hot.withColumn("half", halves).select("*", "half.a", "half.b")
+        rows = hot.select("*", F.inline(halves))
         rows = rows.filter((F.octet_length("back") >= F.col("a")) & (F.octet_length("ahead") >= spread - F.col("b")))
-        part = lambda name, n: F.substring(F.col(name), F.lit(1), n)
-        digest = lambda *x: F.substring(F.unhex(F.sha2(F.concat(*x), 256)), 1, 16)
-        held = F.concat(part("back", F.col("a")), part("ahead", spread - F.col("b")))
-        whole = [part("back", F.col("b")), part("ahead", spread - F.col("a"))]
         rows = rows.select(
-            digest(F.col("grp"), F.col("a").cast("string").cast("binary"), held).alias("grp"),
-            F.col("a").alias("low"),
-            F.col("b").alias("high"),
-            "key", "core", "class", "done",
-            digest(F.octet_length(whole[0]).cast("string").cast("binary"), F.lit(b"|"), *whole).alias("own"),
-            whole[0].alias("back"),
-            whole[1].alias("ahead"),
+            *(x.alias(name) for x, name in zip(_hashed("one", "two", "a", *shared), place)),
+            *(x.alias(name) for x, name in zip(_hashed(F.octet_length(back), back, F.octet_length(ahead), ahead), own)),
+            F.col("a").alias("low"), F.col("b").alias("high"), "key", "core", "class", "done",
+            F.xxhash64("key", "core", "class").alias("tag"), back.alias("back"), ahead.alias("ahead"),
         )
         rows = stored(rows, "substrings-halves")
-        same = rows.groupBy("grp", "own").agg(
-            F.count("*").alias("n"),
-            F.min(F.struct("key", "core", "class", "done", "low", "high", "back", "ahead")).alias("one"),
-        )
-        same = stored(same, "substrings-classes")
-        twice = same.filter("n > 1").select("grp", "own")
-        repeated = rows.filter(~F.col("done")).join(twice, ["grp", "own"])
-        found.append(repeated.select("key", "core", "class", F.octet_length("back").cast("bigint").alias("back"), F.octet_length("ahead").cast("bigint").alias("ahead")))
-        sizes = same.groupBy("grp").agg(F.count("*").alias("size")).filter("size > 1")
-        one = [F.col(f"one.{x}").alias(x) for x in ("key", "core", "class", "low", "high", "back", "ahead")]
-        rest = same.join(sizes, "grp").select("grp", *one, (F.col("one.done") | (F.col("n") > 1)).alias("done"), "size")
-        rest = stored(rest, "substrings-groups")
+        same = stored(rows.groupBy(*place, *own).agg(F.count("*").alias("n"), F.min("tag").alias("chosen")), "substrings-same")
+        sizes = same.groupBy(*place).agg(F.count("*").alias("size"))
+        same = stored(same.join(sizes, place).filter("size > 1 OR n > 1"), "substrings-sizes")
+        rows = stored(rows.join(same, [*place, *own]), "substrings-groups")
+        reach = [F.octet_length(x).cast("bigint").alias(x) for x in ("back", "ahead")]
+        found.append(rows.filter("n > 1 AND NOT done").select("key", "core", "class", *reach))
+        # one member goes on for its class; what a class of several repeats is known
+        rest = rows.filter("tag = chosen AND size > 1").withColumn("done", F.col("done") | (F.col("n") > 1))
         found.append(_compare(rest.filter(F.col("size") <= limit), w, k))
         hot = rest.filter(F.col("size") > limit)
     return found
@@ -499,7 +498,8 @@ def repeated_spans(
     cover, and the kept bytes. Texts without any have no row."""
     texts = _distinct_texts(documents, text, w)
     places = stored(_places(texts, w, k), "substrings-anchors")
-    twice = places.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    # stored first, so that a join meets plain rows on either side and a hot key can be split
+    twice = stored(places.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "substrings-keys")
     around = stored(_around(texts, places.join(twice, "key"), w, k), "substrings-around")
     classes = around.groupBy("key", "core", "class").agg(F.count("*").alias("n"), F.min(F.struct("id", "at")).alias("one"))
     classes = stored(classes, "substrings-classes")
@@ -507,12 +507,12 @@ def repeated_spans(
         "key", "core", "class", F.lit(w - k).cast("bigint").alias("back"), F.lit(w - k).cast("bigint").alias("ahead")
     )
     sizes = classes.groupBy("key", "core").agg(F.count("*").alias("size")).filter("size > 1")
+    sizes = stored(sizes, "substrings-sizes")
     members = classes.join(sizes, ["key", "core"]).select(
         F.col("one.id").alias("id"), F.col("one.at").alias("at"), "key", "core", "class", (F.col("n") > 1).alias("done"), "size"
     )
-    anchor = F.concat(*(F.unhex(F.lpad(F.hex(x), 16, "0")) for x in ("key", "core")))
     sides = _sides(texts, members, w, k).select(
-        "*", anchor.alias("grp"), F.lit(0).alias("low"), F.lit(w - k).alias("high")
+        "*", F.col("key").alias("one"), F.col("core").alias("two"), F.lit(0).alias("low"), F.lit(w - k).alias("high")
     )
     sides = stored(sides, "substrings-sides")
     found = [whole, _compare(sides.filter(F.col("size") <= limit), w, k)]
