@@ -7,7 +7,8 @@ from dataclasses import dataclass, fields, replace
 
 @dataclass(frozen=True)
 class Layout:
-    """Schema names of the layers and the table format to write."""
+    """Schema names of the layers, the table format to write, and whether the KPI tables are replaced in one step, as
+    versions (see ``sinks.versions``)."""
 
     raw: str = "bronze_raw"
     clean: str = "bronze_clean"
@@ -16,10 +17,11 @@ class Layout:
     curated: str = "gold_curated"
     datacube: str = "gold_datacube"
     table_format: str = "parquet"
+    versioned: bool = False
 
     def prefixed(self, prefix: str) -> Layout:
         """The same layout with every schema name prefixed (test runs, several tenants)."""
-        names = {f.name: prefix + getattr(self, f.name) for f in fields(self) if f.name != "table_format"}
+        names = {f.name: prefix + getattr(self, f.name) for f in fields(self) if f.name not in ("table_format", "versioned")}
         return replace(self, **names)
 
     @property

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from finloom.functions.joins import is_small
+from finloom.sinks.tables import quoted
 
 
 class Layer(Mapping):
@@ -21,7 +22,7 @@ class Layer(Mapping):
     @classmethod
     def stored(cls, spark: SparkSession, schema: str, names: Iterable[str]) -> Layer:
         """The tables of a catalog schema."""
-        return cls({name: lambda name=name: spark.table(f"{schema}.{name}") for name in names})
+        return cls({name: lambda name=name: spark.table(quoted(f"{schema}.{name}")) for name in names})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:

@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 CONCURRENT_WRITES = 8
 
 
+def quoted(name: str) -> str:
+    """A name of one to three parts (catalog, schema, table), each part quoted; a name that has quotes already stays."""
+    return name if "`" in name else ".".join(f"`{part}`" for part in name.split("."))
+
+
 def ensure_schema(spark: SparkSession, schema: str) -> None:
-    quoted = schema.replace("`", "``")
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{quoted}`")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(schema)}")
 
 
 def overwrite_table(df: DataFrame, table: str, table_format: str = "parquet", partition_by: Sequence[str] = ()) -> None:
@@ -25,7 +29,7 @@ def overwrite_table(df: DataFrame, table: str, table_format: str = "parquet", pa
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    df.write.mode("overwrite").format(table_format).partitionBy(*partition_by).saveAsTable(table)
+    df.write.mode("overwrite").format(table_format).partitionBy(*partition_by).saveAsTable(quoted(table))
 
 
 def write_together(spark: SparkSession, writes: Iterable[Callable[[], None]]) -> None:
@@ -46,7 +50,7 @@ def replace_partitions(df: DataFrame, table: str, fixed: Mapping[str, object]) -
     changes and other writes may run beside it; the session's partition overwrite mode must be static, its default.
     """
     spark = df.sparkSession
-    columns = spark.catalog.listColumns(table)
+    columns = spark.catalog.listColumns(quoted(table))
     partitions = [c.name for c in columns if c.isPartition]
     if list(fixed) != partitions[: len(fixed)]:
         raise ValueError(f"{table} is partitioned by {partitions}, not first by {list(fixed)}")
@@ -55,8 +59,9 @@ def replace_partitions(df: DataFrame, table: str, fixed: Mapping[str, object]) -
         df = df.filter(F.col(name) == F.lit(value))
     rows = df.select(*(c.name for c in columns if c.name not in fixed))
     rows = rows.hint("rebalance", *rest) if rest else rows.hint("rebalance")
-    values = [f"{name} = {value!r}" for name, value in fixed.items()]
-    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({', '.join([*values, *rest])}) SELECT * FROM {{rows}}", rows=rows)
+    values = [f"{quoted(name)} = {value!r}" for name, value in fixed.items()]
+    target = f"{quoted(table)} PARTITION ({', '.join([*values, *map(quoted, rest)])})"
+    spark.sql(f"INSERT OVERWRITE TABLE {target} SELECT * FROM {{rows}}", rows=rows)
 
 
 def publish_temp_views(frames: Mapping[str, DataFrame]) -> None:
@@ -69,4 +74,4 @@ def publish_views(spark: SparkSession, schema: str, views: Mapping[str, str]) ->
     """Persistent views: view name -> stored table it shows."""
     ensure_schema(spark, schema)
     for view, table in views.items():
-        spark.sql(f"CREATE OR REPLACE VIEW {schema}.{view} AS SELECT * FROM {table}")
+        spark.sql(f"CREATE OR REPLACE VIEW {quoted(f'{schema}.{view}')} AS SELECT * FROM {quoted(table)}")
