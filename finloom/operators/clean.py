@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,29 +45,45 @@ def rejected(tagged: DataFrame) -> DataFrame:
 def dedup(df: DataFrame, key: str, latest_by: Sequence[str] = ()) -> DataFrame:
     """One row per key: the latest by ``latest_by``, ties broken by all other columns.
 
-    Rows with a NULL key have nothing in common and all stay.
+    Rows with a NULL key have nothing in common and all stay: each is ranked by itself, in the same pass.
     The order is total over the columns, so exact duplicates collapse as well. Spark keeps one row per key in
     every map task before the shuffle (partial group limit), so a key that holds a large share of all rows
     reaches its reducer as one row per map task.
     """
-    first = ranked(df.filter(F.col(key).isNotNull()), key, latest_by).filter(F.col("_rank") == 1).drop("_rank")
-    return first.unionByName(df.filter(F.col(key).isNull()))
+    alone = df.withColumn("_alone", F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
+    rank = F.row_number().over(Window.partitionBy(key, "_alone").orderBy(*_order(df, key, latest_by)))
+    return alone.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank", "_alone")
 
 
-def ranked(df: DataFrame, key: str, latest_by: Sequence[str]) -> DataFrame:
-    """Each key's rows numbered in ``_rank``, the one that stays first."""
+def _order(df: DataFrame, key: str, latest_by: Sequence[str]) -> list[Column]:
+    """A key's rows in order, the one that stays first."""
     rest = [c for c in df.columns if c != key and c not in latest_by]
     order = [F.col(c).desc_nulls_last() for c in latest_by] + [F.col(c).asc_nulls_first() for c in rest]
-    return df.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*(order or [key]))))
+    return order or [F.col(key)]
+
+
+# A key's rows are ranked in this many parts before the parts' first rows are ranked against each other.
+PARTS = 64
 
 
 def rejects(clean: DataFrame, table: str) -> DataFrame:
     """The rows that ``one_row_per_key`` takes out of a clean table, with the reason: together with what it keeps
-    they are all rows."""
+    they are all rows.
+
+    A row that is not the first of its part of the key's rows is rejected for sure. The parts' first rows, at most PARTS
+    a key, are ranked once more, while the others stay dealt by part: no task sorts all rows of a hot key, and the table is
+    read once.
+    """
     key = KEYS[table]
-    repeated = ranked(clean.filter(F.col(key).isNotNull()), key, LATEST_BY.get(table, ())).filter(F.col("_rank") > 1)
-    without = clean.filter(F.col(key).isNull()).withColumn("reject_reason", F.lit("null_key"))
-    return without.unionByName(repeated.drop("_rank").withColumn("reject_reason", F.lit("duplicate_key")))
+    order = _order(clean, key, LATEST_BY.get(table, ()))
+    number = F.monotonically_increasing_id()
+    rows = clean.withColumn("_part", F.when(F.col(key).isNull(), -1 - number).otherwise(number % PARTS))
+    first = F.row_number().over(Window.partitionBy(key, "_part").orderBy(*order)) == 1
+    rows = rows.withColumn("_part", F.when(first & (F.col("_part") >= 0), F.lit(-1)).otherwise(F.col("_part")))
+    best = F.row_number().over(Window.partitionBy(key, "_part").orderBy(*order)) == 1
+    rows = rows.withColumn("_stays", best & (F.col("_part") == -1) & F.col(key).isNotNull())
+    reason = F.when(F.col(key).isNull(), "null_key").otherwise("duplicate_key")
+    return rows.filter(~F.col("_stays")).drop("_part", "_stays").withColumn("reject_reason", reason)
 
 
 # Fixed choice: of several rows with one key the one dated last is the current one.

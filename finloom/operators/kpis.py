@@ -19,6 +19,7 @@ from finloom.functions.columns import fiscal_month_label, named
 from finloom.functions.money import amount, percentage, quotient, total
 from finloom.layer import Layer
 from finloom.operators.mart import POSTED
+from finloom.schemas import MART
 
 MONTH = ("fiscal_year", "fiscal_period")
 LABEL = f"{fiscal_month_label(*MONTH)} AS fiscal_month_label"
@@ -189,6 +190,18 @@ def net_profit_by_month(mart: Layer) -> DataFrame:
     )
 
 
+def net_profit_of(mart: Layer, companies: str) -> DataFrame:
+    """Net profit by month of the companies that fulfil a condition on their dimension.
+
+    The ledger is narrowed to them before anything is summed. Over the stored fact, partitioned by company, Spark finds
+    their keys first and reads only their partitions.
+    """
+    wanted = mart["dim_company"].filter(companies)
+    lines = mart["fact_gl"].join(wanted.select("company_id"), "company_id", "left_semi")
+    parts = {"dim_company": lambda: wanted, "fact_gl": lambda: lines}
+    return net_profit_by_month(Layer({name: parts.get(name, lambda name=name: mart[name]) for name in MART}))
+
+
 def _payroll_by_department(mart: Layer, **sums: str) -> DataFrame:
     """Payroll totals and exact headcount per company and department.
 

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finloom.functions.columns import as_type, named
-from finloom.operators.clean import LATEST_BY, ranked
+from finloom.operators.clean import LATEST_BY, dedup
 
 
 def null_counts(raw: DataFrame, schema: T.StructType, table: str) -> DataFrame:
@@ -73,29 +73,58 @@ def orphans(fact: DataFrame, name: str, references: Mapping[str, DataFrame]) ->
 
 
 def reconcile(table: str, clean: DataFrame, key: str, in_fact: str, fact: DataFrame) -> DataFrame:
-    """Row counts from raw to fact of one table: one scan of the table, and the fact counted on its own.
+    """Row counts from raw to fact of one table, and the fact counted on its own.
 
     raw = kept + rejected (NULL key) + duplicate (all but one row of a key); kept = fact + excluded, the kept rows that
-    the fact's filter ``in_fact`` leaves out.
+    the fact's filter ``in_fact`` leaves out. Rows and distinct keys come from one aggregate over the key alone; kept and
+    excluded from the deduplicated rows, of which a hot key has one per map task.
     """
-    rows = dedup_marked(clean, table, key)
-    counts = dict(
-        n_raw="count(*)",
-        n_kept="count_if(_kept)",
-        n_rejected=f"count_if({key} IS NULL)",
-        n_duplicate=f"count_if({key} IS NOT NULL AND NOT _kept)",
-        n_fact="0L",
-        n_excluded=f"count_if(_kept AND NOT coalesce({in_fact}, false))",
-    )
+    counts = ("n_raw", "n_kept", "n_rejected", "n_duplicate", "n_fact", "n_excluded")
+
+    def part(rows: DataFrame, **found: str) -> DataFrame:
+        return rows.agg(*named(**{name: found.get(name, "0L") for name in counts}))
+
+    keyed = f"count({key}) - count(DISTINCT {key})"
+    kept = dedup(clean.filter(f"{key} IS NOT NULL"), key, LATEST_BY.get(table, ()))
+    outside = f"count_if(NOT coalesce({in_fact}, false))"
+    parts = [
+        part(clean, n_raw="count(*)", n_rejected=f"count(*) - count({key})", n_duplicate=keyed),
+        part(kept, n_kept="count(*)", n_excluded=outside),
+        part(fact, n_fact="count(*)"),
+    ]
+    total = reduce(DataFrame.unionByName, parts).agg(*named(**{name: f"sum({name})" for name in counts}))
     balanced = "n_raw = n_kept + n_rejected + n_duplicate AND n_kept = n_fact + n_excluded"
-    in_fact_table = {**dict.fromkeys(counts, "0L"), "n_fact": "count(*)"}
-    both = rows.agg(*named(**counts)).unionByName(fact.agg(*named(**in_fact_table)))
-    total = both.agg(*named(**{name: f"sum({name})" for name in counts}))
     return total.selectExpr(f"'{table}' AS table_name", "*", f"{balanced} AS balanced")
 
 
-def dedup_marked(clean: DataFrame, table: str, key: str) -> DataFrame:
-    """All rows, ``_kept`` true for those that null policy and deduplication leave."""
-    keyed = ranked(clean.filter(f"{key} IS NOT NULL"), key, LATEST_BY.get(table, ()))
-    keyed = keyed.selectExpr("* EXCEPT (_rank)", "_rank = 1 AS _kept")
-    return keyed.unionByName(clean.filter(f"{key} IS NULL").selectExpr("*", "false AS _kept"))
+class ObservedNulls:
+    """Null counts taken while a table is written, at no scan of its own.
+
+    ``rows`` are the raw rows, to be written on as any others; once a write over them has ended, ``counts`` has one row per
+    column, the same as ``null_counts`` gives. A write that reads them twice, or in part, would count as it read.
+    """
+
+    def __init__(self, raw: DataFrame, schema: T.StructType, table: str):
+        self.schema, self.table, self._seen = schema, table, Observation()
+        found = ["count(*) AS n_rows"]
+        for k, field in enumerate(schema.fields):
+            found.append(f"count({as_type(field.name, field.dataType)}) AS known_{k}")
+            found.append(f"count(nullif({field.name}, '')) AS told_{k}")
+        self.rows = raw.observe(self._seen, *(F.expr(x) for x in found))
+
+    def counts(self) -> list[tuple[str, str, int, int, int]]:
+        seen = self._seen.get  # waits for the write
+        out = []
+        for k, field in enumerate(self.schema.fields):
+            known = seen[f"known_{k}"]
+            unparsed = 0 if isinstance(field.dataType, T.StringType) else seen[f"told_{k}"] - known
+            out.append((self.table, field.name, seen["n_rows"], seen["n_rows"] - known, unparsed))
+        return out
+
+
+NULL_COUNTS = "table_name string, column_name string, n_rows bigint, n_null bigint, n_unparsed bigint"
+
+
+def observed_counts(spark: SparkSession, observed: Iterable[ObservedNulls]) -> DataFrame:
+    """The counts of several written tables, a row per column of the data model."""
+    return spark.createDataFrame([row for one in observed for row in one.counts()], NULL_COUNTS)

@@ -26,9 +26,11 @@ from finloom.sinks.tables import (
     overwrite_table,
     publish_temp_views,
     publish_views,
+    quoted,
     replace_partitions,
     write_together,
 )
+from finloom.sinks.versions import replace_table
 
 CUBE_TABLE = "fact_integrated_datacube"
 CUBE_PARTITIONS = ("source_fact", "fiscal_year")
@@ -48,10 +50,20 @@ def stored_mart(spark: SparkSession, layout: Layout) -> Layer:
     return Layer({name: lambda name=name: tables[name].select(*MART[name].names) for name in MART})
 
 
+def store_clean(spark: SparkSession, raw: Layer, layout: Layout, one_row_per_key: bool = False) -> Layer:
+    """The clean tables, with their null counts taken in passing as ``dq_null_counts``."""
+    observed = {n: quality.ObservedNulls(raw[n], CLEAN[n], n) for n in CLEAN}
+    watched = Layer({n: lambda n=n: observed[n].rows for n in CLEAN})
+    clean = store(spark, clean_layer(watched, one_row_per_key), layout.clean, layout.table_format)
+    counts = quality.observed_counts(spark, observed.values())
+    overwrite_table(counts, f"{layout.clean}.dq_null_counts", layout.table_format)
+    return clean
+
+
 def build_mart(spark: SparkSession, layout: Layout, one_row_per_key: bool = False) -> Layer:
     """Raw tables -> clean -> silver -> star schema, each layer stored."""
     raw = Layer.stored(spark, layout.raw, RAW)
-    clean = store(spark, clean_layer(raw, one_row_per_key), layout.clean, layout.table_format)
+    clean = store_clean(spark, raw, layout, one_row_per_key)
     if one_row_per_key:  # what the clean tables leave out
         store(spark, rejects_layer(raw), layout.clean, layout.table_format)
     silver = store(spark, silver_layer(clean), layout.silver, layout.table_format)
@@ -91,12 +103,9 @@ def check_dimension_keys(mart: Layer) -> None:
 
 
 def store_quality(spark: SparkSession, layout: Layout) -> None:
-    """The quality checks of the run as tables beside the clean layer."""
-    raw, clean = Layer.stored(spark, layout.raw, RAW), Layer.stored(spark, layout.clean, CLEAN)
-    nulls = reduce(DataFrame.unionByName, [quality.null_counts(raw[n], CLEAN[n], n) for n in CLEAN])
-    checks = {"dq_null_counts": nulls, "dq_duplicate_keys": quality.duplicate_keys_of(clean, KEYS)}
-    writes = [partial(overwrite_table, df, f"{layout.clean}.{n}", layout.table_format) for n, df in checks.items()]
-    write_together(spark, writes)
+    """The key check of the run as a table beside the clean layer; null counts are there since it was written."""
+    repeated = quality.duplicate_keys_of(Layer.stored(spark, layout.clean, CLEAN), KEYS)
+    overwrite_table(repeated, f"{layout.clean}.dq_duplicate_keys", layout.table_format)
 
 
 def materialize_kpis(
@@ -105,25 +114,34 @@ def materialize_kpis(
     schema: str,
     names: Iterable[str] = tuple(KPIS),
     table_format: str = "parquet",
+    year: int | None = None,
+    versioned: bool = False,
 ) -> DataFrame:
     """Write the KPIs as tables; returns one row per KPI with its table and row count.
 
-    The ledger is aggregated once, into a stored monthly rollup that all ledger KPIs read.
+    The ledger is aggregated once, into a stored monthly rollup that all ledger KPIs read. With ``year``, only that year
+    of the ledger has changed since: its partition of the rollup is replaced, other years are not read again.
+    ``versioned`` tables are replaced in one step each.
     """
+    replace = replace_table if versioned else overwrite_table
     ensure_schema(spark, schema)
     names = list(names)
     tables_of = {name: lambda name=name: mart[name] for name in MART}
     if any(KPIS[name].of_ledger for name in names):
         rollup = f"{schema}.{ROLLUP}"
-        overwrite_table(gl_monthly(mart["fact_gl"]), rollup, table_format)
-        tables_of[ROLLUP] = lambda: spark.table(rollup)
+        if year is not None and spark.catalog.tableExists(quoted(rollup)):
+            of_year = gl_monthly(mart["fact_gl"].filter(F.col("fiscal_year") == year))
+            replace_partitions(of_year, rollup, {"fiscal_year": year})
+        else:
+            overwrite_table(gl_monthly(mart["fact_gl"]), rollup, table_format, ["fiscal_year"])
+        tables_of[ROLLUP] = lambda: spark.table(quoted(rollup))
     shared = Layer(tables_of)
     tables = {name: f"{schema}.{name}" for name in names}
     built = {name: KPIS[name].build(shared) for name in names}
-    writes = [partial(overwrite_table, built[name], table, table_format) for name, table in tables.items()]
+    writes = [partial(replace, built[name], table, table_format) for name, table in tables.items()]
     write_together(spark, writes)
     counts = [
-        spark.table(table)
+        spark.table(quoted(table))
         .agg(F.expr("count(*) AS n_rows"))
         .selectExpr(f"'{name}' AS kpi", f"'{table}' AS table_name", "n_rows")
         for name, table in tables.items()
@@ -147,7 +165,7 @@ def register_session_views(mart: Layer) -> None:
 
 def stored_cube(spark: SparkSession, layout: Layout) -> DataFrame:
     """The stored cube, columns in declared order."""
-    return spark.table(f"{layout.datacube}.{CUBE_TABLE}").select(*CUBE.names)
+    return spark.table(quoted(f"{layout.datacube}.{CUBE_TABLE}")).select(*CUBE.names)
 
 
 def build_cube(spark: SparkSession, mart: Layer, layout: Layout) -> DataFrame:
@@ -170,13 +188,15 @@ def rerun_year(spark: SparkSession, layout: Layout, year: int, one_row_per_key:
     cube = f"{layout.datacube}.{CUBE_TABLE}"
     for source, branch in ((PAYROLL, payroll_branch), (GENERAL_LEDGER, gl_branch)):
         replace_partitions(branch(mart), cube, {"source_fact": source, "fiscal_year": year})
-    return materialize_kpis(spark, mart, layout.mart, table_format=layout.table_format)
+    return materialize_kpis(
+        spark, mart, layout.mart, table_format=layout.table_format, year=year, versioned=layout.versioned
+    )
 
 
 def run(spark: SparkSession, layout: Layout = Layout(), one_row_per_key: bool = False) -> DataFrame:  # noqa: B008
     """The whole pipeline over stored raw tables; returns the KPI status rows."""
     mart = build_mart(spark, layout, one_row_per_key)
-    status = materialize_kpis(spark, mart, layout.mart, table_format=layout.table_format)
+    status = materialize_kpis(spark, mart, layout.mart, table_format=layout.table_format, versioned=layout.versioned)
     publish_kpi_views(spark, layout.mart, layout.curated)
     build_cube(spark, mart, layout)
     store_quality(spark, layout)
