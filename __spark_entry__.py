@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from finloom.layer import Layer
 from finloom.operators import cube, quality
 from finloom.operators.clean import LATEST_BY, clean_layer, clean_table, dedup, null_policy, parse_dates, rejects
-from finloom.operators.kpis import KPIS, first_months, long_form
+from finloom.operators.headcount import BITMAPS, headcount_rollup, monthly_bitmaps
+from finloom.operators.kpis import KPIS, first_months, long_form, net_profit_of
 from finloom.operators.mart import FACT_PARTITIONS, POSTED, mart_layer
 from finloom.operators.silver import silver_layer
 from finloom.plans.layers import mart_of, silver_of
@@ -24,6 +25,8 @@ from finloom.plans.pipeline import materialize_kpis, publish_kpi_views, register
 from finloom.schemas import CLEAN, KEYS, MANIFEST, MART, RAW
 from finloom.scratch import fresh_folder, fresh_schema
 from finloom.sinks.tables import overwrite_table, replace_partitions, write_together
+from finloom.sinks.upsert import RANGE, create_keyed, upsert
+from finloom.sinks.versions import replace_table, roll_back
 from finloom.sources import files, samples
 from oracle.sql import QUERIES
 
@@ -157,6 +160,90 @@ def kpi_persistent_view(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(f"{views}.{KPIS[KPI6].view}")
 
 
+def ingest_increment(spark: SparkSession, folder: str) -> DataFrame:
+    """Accounts land as three files, the last after two runs have taken in the others; the table after three runs."""
+    landing, prefix = fresh_folder(spark, "landing"), fresh_schema(spark, "increment") + "_"
+    spark.sql(f"CREATE SCHEMA {prefix}raw LOCATION '{fresh_folder(spark, 'raw')}'")
+    accounts = samples.raw_layer(spark, folder)["accounts"].withColumn("part", F.expr("crc32(CAST(account_id AS BINARY)) % 3"))
+    state, table = fresh_folder(spark, "increment-state"), f"{prefix}raw.accounts"
+
+    def control(n: int) -> DataFrame:
+        return spark.createDataFrame([(f"accounts_{k}", "raw", "accounts") for k in range(n)], MANIFEST)
+
+    for k in range(2):
+        accounts.filter(f"part = {k}").drop("part").write.option("header", True).csv(f"{landing}/accounts_{k}.csv")
+    for batch in ("batch-1", "batch-2"):
+        files.ingest_increment(spark, control(2), landing, batch, state, prefix)
+    accounts.filter("part = 2").drop("part").write.option("header", True).csv(f"{landing}/accounts_2.csv")
+    files.ingest_increment(spark, control(3), landing, "batch-3", state, prefix)
+    return spark.table(table).select(*RAW["accounts"].names)
+
+
+def table_replaced_atomically(spark: SparkSession, folder: str) -> DataFrame:
+    """The employee dimension as a versioned table, then a replacement that fails on its last rows; what readers see."""
+    table = f"{fresh_schema(spark, 'atomic')}.dim_employee"
+    employees = mart_of(samples.raw_layer(spark, folder))["dim_employee"]
+    replace_table(employees, table)
+    last = spark.table(table).agg(F.max("employee_id")).first()[0]
+    failing = spark.table(table).filter(F.expr(f"assert_true(employee_id < {last}) IS NULL"))
+    try:
+        replace_table(failing, table)
+    except Exception as e:  # the failure is the point; anything else that went wrong would show below
+        if "USER_RAISED_EXCEPTION" not in str(e):
+            raise
+    return spark.table(table)
+
+
+def table_rolled_back(spark: SparkSession, folder: str) -> DataFrame:
+    """Employees replaced by the active ones among them, read from the table itself, then one version back."""
+    table = f"{fresh_schema(spark, 'versions')}.dim_employee"
+    replace_table(mart_of(samples.raw_layer(spark, folder))["dim_employee"], table)
+    replace_table(spark.table(table).filter("is_active"), table)
+    active = spark.table(table)
+    both = active.withColumn("version", F.lit("active"))
+    roll_back(spark, table)
+    return both.unionByName(spark.table(table).withColumn("version", F.lit("before")))
+
+
+def clean_gl_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Ledger lines of two thirds of the periods stored by key, the late third merged in; one row per key."""
+    table = f"{fresh_schema(spark, 'upsert')}.general_ledgers"
+    lines = _clean(samples.raw_layer(spark, folder), "general_ledgers")
+    late, latest = F.expr("coalesce(fiscal_period % 3 = 0, true)"), LATEST_BY["general_ledgers"]
+    create_keyed(lines.filter(~late), table, "gl_id", 50_000, latest)
+    upsert(lines.filter(late), table, "gl_id", latest)
+    return spark.table(table).drop(RANGE)
+
+
+def kpi_after_year_rerun(spark: SparkSession, folder: str) -> DataFrame:
+    """Net profit after 1998 was replaced by its revenue lines: only that year of the ledger is summed again."""
+    schema = fresh_schema(spark, "increment")
+    mart = mart_of(samples.raw_layer(spark, folder))
+    overwrite_table(mart["fact_gl"], f"{schema}.fact_gl", partition_by=FACT_PARTITIONS)
+    stored = Layer({**{n: lambda n=n: mart[n] for n in MART}, "fact_gl": lambda: spark.table(f"{schema}.fact_gl")})
+    materialize_kpis(spark, stored, schema, [KPI6])
+    replace_partitions(mart["fact_gl"].filter("pl_section = 'Revenue'"), f"{schema}.fact_gl", {"fiscal_year": 1998})
+    stored = Layer({**{n: lambda n=n: mart[n] for n in MART}, "fact_gl": lambda: spark.table(f"{schema}.fact_gl")})
+    materialize_kpis(spark, stored, schema, [KPI6], year=1998)
+    return spark.table(f"{schema}.{KPI6}")
+
+
+def kpi6_of_country(spark: SparkSession, folder: str) -> DataFrame:
+    """Net profit of one country's companies, from a ledger stored by year and company."""
+    schema = fresh_schema(spark, "country")
+    mart = mart_of(samples.raw_layer(spark, folder))
+    overwrite_table(mart["fact_gl"], f"{schema}.fact_gl", partition_by=FACT_PARTITIONS)
+    stored = Layer({**{n: lambda n=n: mart[n] for n in MART}, "fact_gl": lambda: spark.table(f"{schema}.fact_gl")})
+    return net_profit_of(stored, "country = 'C1'")
+
+
+def headcounts(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct employees by quarter and year, from stored monthly bitmaps."""
+    table = f"{fresh_schema(spark, 'headcount')}.{BITMAPS}"
+    overwrite_table(monthly_bitmaps(mart_of(samples.raw_layer(spark, folder))["fact_payroll"]), table, partition_by=["fiscal_year"])
+    return headcount_rollup(spark.table(table))
+
+
 # --- data quality --------------------------------------------------------------------------------------------
 
 
@@ -164,6 +251,15 @@ def dq_null_counts(raw: Layer) -> DataFrame:
     return reduce(DataFrame.unionByName, [quality.null_counts(raw[name], CLEAN[name], name) for name in CLEAN])
 
 
+def dq_observed(spark: SparkSession, folder: str) -> DataFrame:
+    """Null counts taken while the clean tables are written."""
+    raw = samples.raw_layer(spark, folder)
+    observed = {n: quality.ObservedNulls(raw[n], CLEAN[n], n) for n in CLEAN}
+    watched = Layer({n: lambda n=n: observed[n].rows for n in CLEAN})
+    store(spark, clean_layer(watched), fresh_schema(spark, "observed"))
+    return quality.observed_counts(spark, observed.values())
+
+
 def dq_duplicate_keys(raw: Layer) -> DataFrame:
     return quality.duplicate_keys_of(Layer({n: lambda n=n: _clean(raw, n) for n in CLEAN}), KEYS)
 
@@ -205,6 +301,14 @@ def reference_queries() -> dict[str, Query]:
         "fact_gl_year_replaced": fact_gl_year_replaced,
         "kpi_tables_materialized": kpi_tables_materialized,
         "kpi_persistent_view": kpi_persistent_view,
+        "ingest_increment": ingest_increment,
+        "table_replaced_atomically": table_replaced_atomically,
+        "table_rolled_back": table_rolled_back,
+        "clean_gl_upsert": clean_gl_upsert,
+        "kpi_after_year_rerun": kpi_after_year_rerun,
+        "kpi6_of_country": kpi6_of_country,
+        "headcount_rollup": headcounts,
+        "dq_observed": dq_observed,
         "clean_employee_dates": _on_raw(lambda raw: parse_dates(raw["employee"], CLEAN["employee"])),
         "clean_gl_dates": _on_raw(lambda raw: parse_dates(raw["general_ledgers"], CLEAN["general_ledgers"])),
         "clean_payroll_dates": _on_raw(lambda raw: parse_dates(raw["payroll"], CLEAN["payroll"])),

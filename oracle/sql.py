@@ -541,6 +541,10 @@ _FACT_GL_ORDER = (
 _ONE_LEDGER_LINE = f"""(select * from (select distinct * from clean_general_ledgers where gl_id is not null)
                       qualify row_number() over (partition by gl_id order by {_LEDGER_ORDER}) = 1)"""
 
+_DEDUPLICATED = f"""
+        select * from {_ONE_LEDGER_LINE}
+        union all select * from clean_general_ledgers where gl_id is null"""
+
 _BODIES: dict[str, str] = {
     "scan_accounts": "select * from raw_accounts",
     "csv_landing": "select * from raw_accounts",
@@ -555,6 +559,27 @@ _BODIES: dict[str, str] = {
         _every_value(name, KPI_SQL[name], keys) for name, keys in _KPI_ROWS.items()
     ),
     "kpi_persistent_view": KPI_SQL["kpi6_net_profit_by_month"],
+    "ingest_increment": "select * from raw_accounts",
+    "table_replaced_atomically": "select * from dim_employee",
+    "table_rolled_back": """
+        select *, 'before' as version from dim_employee
+        union all select *, 'active' from dim_employee where is_active""",
+    "clean_gl_upsert": _DEDUPLICATED,
+    "kpi_after_year_rerun": KPI_SQL["kpi6_net_profit_by_month"].replace(
+        "from fact_gl",
+        "from (select * from fact_gl where fiscal_year is distinct from 1998 or pl_section = 'Revenue')",
+    ),
+    "kpi6_of_country": f"""
+        select k.* from ({KPI_SQL["kpi6_net_profit_by_month"]}) k
+        where company_id in (select company_id from dim_company where country = 'C1')""",
+    "headcount_rollup": """
+        select fiscal_year, cast(ceil(fiscal_period / 3) as integer) as fiscal_quarter, company_id,
+               count(distinct employee_id) as headcount
+        from fact_payroll where employee_id is not null group by all
+        union all
+        select fiscal_year, null, company_id, count(distinct employee_id)
+        from fact_payroll where employee_id is not null group by all""",
+    "dq_observed": _NULL_COUNTS,
     "clean_employee_dates": f"select * replace ({_EMPLOYEE_DATES}) from raw_employee",
     "clean_gl_dates": f"select * replace ({_GL_DATES}) from raw_general_ledgers",
     "clean_payroll_dates": f"select * replace ({_PAY_DATES}) from raw_payroll",
