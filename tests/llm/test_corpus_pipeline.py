@@ -19,11 +19,13 @@ from finloom.llm.sql import QUERIES
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_sql(spark, small, name):
     con = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{small}/{table}.parquet'")
     result = registry.queries()[name](spark, small)
-    expected = [d[0] for d in con.execute(QUERIES[name]).description]
-    assert difference(result.select(*expected), con, QUERIES[name]) is None
+    assert difference(result, con, QUERIES[name]) is None
+    described = {row[0]: row[1] for row in con.execute(f"DESCRIBE {QUERIES[name]}").fetchall()}
+    kinds = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "boolean": "BOOLEAN"}
+    assert {c: kinds[t] for c, t in result.dtypes} == described
 
 
 def test_pipeline(spark, small):
