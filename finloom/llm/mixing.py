@@ -8,12 +8,12 @@ until it holds one document; nothing is sorted and no document leaves its task.
 by chance, so what it would leave over is a budget again, for the documents beyond it that fit: PHASES nested
 thresholds, then the last document is taken if that brings the sum nearer to the target.
 
-The hash is of doc_id alone, so reruns agree and the documents of a smaller budget are among those of a larger one up
-to the first threshold. A source with a third of all rows is BUCKETS sums a task.
+The hash is of doc_id and text, so reruns agree and the documents of a smaller budget are among those of a larger one up
+to the first threshold; rows without a doc_id, or with one that others have, are told apart by their texts. A source with a third of all rows is BUCKETS sums a task.
 
 Defined results: null texts have no words; a null source is a source and comes last; documents of size 0 cost nothing
-and are taken like others by their hash; rows of one doc_id and source go together; an empty table gives an empty
-result; other columns pass through `mix` untouched, each row as often as it is taken.
+and are taken like others by their hash; rows of one doc_id, text and source go together, so a source misses its target
+by up to the size of such a group; an empty table gives an empty result; other columns pass through `mix` untouched, each row as often as it is taken.
 """
 
 from __future__ import annotations
@@ -42,8 +42,9 @@ def _key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("0"), source.cast("string")), F.lit("1"))
 
 
-def _place(doc_id: Column) -> Column:
-    digits = F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, BITS // 4)
+def _place(doc_id: Column, text: Column) -> Column:
+    name = F.concat_ws(" ", F.coalesce(doc_id.cast("string"), F.lit("")), F.xxhash64(text.cast("string")).cast("string"))
+    digits = F.substring(F.md5(name), 1, BITS // 4)
     return F.conv(digits, 16, 10).cast("bigint")
 
 
@@ -112,7 +113,7 @@ def plan(documents: DataFrame, **settings) -> tuple[DataFrame, DataFrame]:
         documents.select(
             F.col("doc_id").alias("doc_id"),
             _key(F.col("source")).alias("key"),
-            _place(F.col("doc_id")).alias("place"),
+            _place(F.col("doc_id"), F.col("text")).alias("place"),
             n_words(F.col("text")).alias("size"),
         ),
         "mix-sizes",
@@ -189,7 +190,11 @@ def mix(documents: DataFrame, **settings) -> DataFrame:
     if _small(sources.withColumnRenamed(own["key"], "key")):
         sources = F.broadcast(sources)  # then no text moves; with more sources the join is a shuffle join
     measured = documents.withColumns(
-        {own["key"]: _key(F.col("source")), own["size"]: n_words(F.col("text")), own["place"]: _place(F.col("doc_id"))}
+        {
+            own["key"]: _key(F.col("source")),
+            own["size"]: n_words(F.col("text")),
+            own["place"]: _place(F.col("doc_id"), F.col("text")),
+        }
     )
     copies = _copies(*(F.col(own[c]) for c in ("times", "spans", "size", "place")))
     repeated = measured.join(sources, own["key"]).withColumn(own["copies"], F.array_repeat(F.lit(1), copies.cast("int")))
