@@ -31,18 +31,28 @@ UNKNOWN = "und"
 DISCOUNT = 0.75
 CHUNK = 1 << 19  # characters handled at once
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_ALPHABET = 1 << 17  # code points beyond count as one letter
+_ALPHABET = 1 << 17  # code points in the table; those beyond are looked at one by one
 
 
 def _letters() -> np.ndarray:
     """Code point of the lower-case letter, 32 for anything else."""
-    table = np.full(_ALPHABET + 1, 32, np.uint32)
-    for c in range(_ALPHABET):
-        low = chr(c).lower()
-        if chr(c).isalpha():
-            table[c] = ord(low) if len(low) == 1 and ord(low) <= _ALPHABET else c
-    table[_ALPHABET] = _ALPHABET
-    return table
+    return np.array([_letter(c) for c in range(_ALPHABET)], np.uint32)
+
+
+def _letter(c: int) -> int:
+    low = chr(c).lower()
+    return (ord(low) if len(low) == 1 else c) if chr(c).isalpha() else 32
+
+
+def fold_codes(codes: np.ndarray, table: np.ndarray, fold: Callable[[int], int]) -> np.ndarray:
+    """Code points folded by a table of the first ones, and by `fold` for each different one beyond."""
+    far = codes >= len(table)
+    if not far.any():
+        return table[codes]
+    out = table[np.where(far, 0, codes)]
+    different, which = np.unique(codes[far], return_inverse=True)
+    out[far] = np.array([fold(int(c)) for c in different], np.uint32)[which]
+    return out
 
 
 _fold: list[np.ndarray] = []
@@ -53,7 +63,7 @@ def symbols(text: str) -> np.ndarray:
     if not _fold:
         _fold.append(_letters())
     codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    codes = _fold[0][np.minimum(codes, _ALPHABET)]
+    codes = fold_codes(codes, _fold[0], _letter)
     space = codes == 32
     keep = ~space
     keep[1:] |= space[1:] & ~space[:-1]  # the first of a run of spaces
@@ -294,8 +304,9 @@ def fit(documents: DataFrame, learn: Column, per_language: int = 300) -> Model:
     picked.sort(key=lambda r: (r["place"], str(r["doc_id"]), r["text"] or ""))
     learnt: dict[str, list[str]] = {}
     held: dict[str, list[str]] = {}
-    for i, row in enumerate(picked):
-        (held if i % 10 == 9 else learnt).setdefault(row["lang"], []).append(row["text"] or "")
+    for row in picked:  # every tenth of a language's own texts calibrates, so none is lost to the others
+        own, apart = learnt.setdefault(row["lang"], []), held.setdefault(row["lang"], [])
+        (apart if (len(own) + len(apart)) % 10 == 9 else own).append(row["text"] or "")
     return calibrate(train(learnt), held)
 
 
