@@ -13,7 +13,7 @@ checked: it is dealt by hash into blocks of about BLOCK bytes, and each block is
 scan, so a benchmark of any size is handled with bounded memory.
 
 Defined results: a null or empty text or item matches nothing; items shorter than `least` characters (folded) are
-matched only as they are, by all of their characters, and items shorter than q characters not at all; repeated items
+matched only as they are, by all of their characters, and those shorter than q characters only as whole words; repeated items
 and rows count each; matches are sorted and distinct by item; other columns pass through untouched.
 """
 
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finloom.llm.langid import SortedHashes
+from finloom.llm.langid import SortedHashes, fold_codes
 from finloom.llm.tokens import mix
 
 Q = 8
@@ -35,20 +35,16 @@ WINDOW = 100
 RATE = 0.08
 LEAST = 40
 BLOCK = 2 << 20
+SLICE = 1 << 20  # places of shared q-grams counted at once
 SEGMENT = 1 << 18  # characters of a document handled at once
 _STEPS = [np.uint64(pow(0x9E3779B97F4A7C15, n, 1 << 64)) for n in (1, 2, 4)]
 _MAYBE = 21  # leading bits of a hash that say whether it can be in the index
 _GAP = np.array([0], np.uint32)  # between documents; no window has it
 
 
-def _fold_table() -> np.ndarray:
-    table = np.full((1 << 17) + 1, 32, np.uint32)
-    for c in range(1 << 17):
-        if chr(c).isalnum():
-            low = chr(c).lower()
-            table[c] = ord(low) if len(low) == 1 else c
-    table[-1] = 1 << 17
-    return table
+def _fold(c: int) -> int:
+    low = chr(c).lower()
+    return (ord(low) if len(low) == 1 else c) if chr(c).isalnum() else 32
 
 
 _tables: list[np.ndarray] = []
@@ -56,9 +52,9 @@ _tables: list[np.ndarray] = []
 
 def folded(text: str | None) -> np.ndarray:
     if not _tables:
-        _tables.append(_fold_table())
+        _tables.append(np.array([_fold(c) for c in range(1 << 17)], np.uint32))
     codes = np.frombuffer((text or "").encode("utf-32-le", "replace"), np.uint32)
-    codes = _tables[0][np.minimum(codes, 1 << 17)]
+    codes = fold_codes(codes, _tables[0], _fold)
     space = codes == 32
     keep = ~space
     keep[1:] |= space[1:] & ~space[:-1]
@@ -90,7 +86,7 @@ class Window:
 
 def windows_of(item: int, text: str | None, window: int = WINDOW, rate: float = RATE, least: int = LEAST) -> list[Window]:
     codes = folded(text)
-    if len(codes) < Q:
+    if not len(codes):
         return []
     if len(codes) <= window:
         edits = int(rate * len(codes)) if len(codes) >= least else 0
@@ -102,26 +98,68 @@ def windows_of(item: int, text: str | None, window: int = WINDOW, rate: float =
 def distance(pattern: np.ndarray, region: np.ndarray, edits: int) -> int:
     """Edits between the whole pattern and the closest part of the region, edits + 1 if more.
 
-    Row by row over the pattern; columns are places of the region (narrow: it holds one band of diagonals).
+    Row by row over the pattern, and in each row only the diagonals that edits can reach: a part begins at one of the
+    places that leave room for the pattern, and strays from its diagonal by one place an edit.
     """
-    n = len(region)
-    places = np.arange(n + 1)
-    row = np.zeros(n + 1, np.int32)
-    for i, c in enumerate(pattern, 1):
-        new = np.empty(n + 1, np.int32)
-        new[0] = i
-        new[1:] = np.minimum(row[:-1] + (region != c), row[1:] + 1)
-        row = np.minimum.accumulate(new - places) + places  # insertions
+    m, n = len(pattern), len(region)
+    width = n - m + 2 * edits + 1  # diagonals -edits to n - m + edits
+    if width <= 0:
+        return edits + 1
+    far = np.int32(edits + 1)
+    # places of the region by diagonal, with places outside it that match nothing
+    wide = np.full(m + width + 1, -1, np.int64)
+    begin = edits  # wide[begin + j] is region[j]
+    wide[begin : begin + n] = region[: len(wide) - begin]
+    steps = np.arange(width, dtype=np.int32)
+    row = np.where((steps >= edits) & (steps - edits <= n), 0, far).astype(np.int32)
+    for i in range(1, m + 1):
+        place = steps + (i - edits)  # of each diagonal after i characters of the pattern
+        new = row + (wide[i - 1 : i - 1 + width] != pattern[i - 1])
+        new[:-1] = np.minimum(new[:-1], row[1:] + 1)
+        new[(place < 0) | (place > n)] = far + m
+        row = np.minimum(np.minimum.accumulate(new - steps) + steps, far + m).astype(np.int32)
+        row[(place < 0) | (place > n)] = far + m
         if row.min() > edits:
             return edits + 1
     return int(min(row.min(), edits + 1))
 
 
+class _Short:
+    """Windows of fewer than Q characters, found as they are where they begin and end with a word."""
+
+    def __init__(self, windows: list[Window]):
+        self.items: dict[int, dict[bytes, set[int]]] = {}
+        for w in windows:
+            self.items.setdefault(len(w.codes), {}).setdefault(w.codes.astype(np.uint32).tobytes(), set()).add(w.item)
+
+    def places(self, codes: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(item, place) of each occurrence."""
+        if not self.items:
+            return
+        edge = np.concatenate([[True], (codes == 32) | (codes == 0), [True]])  # of place - 1
+        for n, items in self.items.items():
+            if len(codes) < n:
+                continue
+            at = np.flatnonzero(edge[: len(codes) - n + 1] & edge[n + 1 :])
+            for k in at:
+                for item in items.get(codes[k : k + n].astype(np.uint32).tobytes(), ()):
+                    yield item, int(k)
+
+
 class Index:
     """The q-grams of a block of windows."""
 
     def __init__(self, windows: list[Window]):
-        self.windows = windows
+        self.short = _Short([w for w in windows if len(w.codes) < Q])
+        # a window that several items have is looked for once
+        items: dict[bytes, set[int]] = {}
+        different: dict[bytes, Window] = {}
+        for w in windows:
+            if len(w.codes) >= Q:
+                items.setdefault(w.codes.tobytes(), set()).add(w.item)
+                different.setdefault(w.codes.tobytes(), w)
+        windows = list(different.values())
+        self.windows, self.items = windows, list(items.values())
         grams = [qgrams(w.codes) for w in windows]
         sizes = np.array([len(g) for g in grams], np.int64)
         keys = mix(np.concatenate(grams)) if grams else np.zeros(0, np.uint64)
@@ -147,11 +185,20 @@ class Index:
         if not len(at):
             return
         n = self.first[row + 1] - self.first[row]
-        entry = np.repeat(self.first[row] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-        window = self.window[entry]
-        diagonal = np.repeat(at, n) - self.place[entry] + self.longest  # 0 or more
         strips = len(codes) + self.longest + 2
-        strip, counts = np.unique(window * strips + diagonal // (self.edits[window] + 1), return_counts=True)
+        strip, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        upto = np.cumsum(n)
+        begin = 0
+        while begin < len(n):  # a q-gram of many windows meets every place that has it: counted in slices
+            end = max(begin + 1, int(np.searchsorted(upto, upto[begin] - n[begin] + SLICE, "right")))
+            own = n[begin:end]
+            entry = np.repeat(self.first[row[begin:end]] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+            window = self.window[entry]
+            diagonal = np.repeat(at[begin:end], own) - self.place[entry] + self.longest  # 0 or more
+            some, times = np.unique(window * strips + diagonal // (self.edits[window] + 1), return_counts=True)
+            strip, which = np.unique(np.concatenate([strip, some]), return_inverse=True)
+            counts = np.bincount(which, np.concatenate([counts, times])).astype(np.int64)
+            begin = end
         # a band is two strips side by side, so diagonals e apart lie in one band together
         both = counts.copy()
         both[:-1] += np.where(strip[1:] == strip[:-1] + 1, counts[1:], 0)
@@ -169,16 +216,18 @@ class Index:
         def search():
             codes = np.concatenate(held)
             ends = np.cumsum([len(x) for x in held])
+            for item, at in self.short.places(codes):
+                found[owners[int(np.searchsorted(ends, at, "right"))]].add(item)
             for w, first, last in self.regions(codes):
                 window = self.windows[w]
                 # a region may reach over several texts; each part that can hold the window is tried
                 for i in range(np.searchsorted(ends, first, "right"), np.searchsorted(ends, last - 1, "right") + 1):
                     begin = max(first, ends[i] - len(held[i]))
                     part = codes[begin : min(last, ends[i])]
-                    if window.item in found[owners[i]] or len(part) < len(window.codes) - window.edits:
+                    if self.items[w] <= found[owners[i]] or len(part) < len(window.codes) - window.edits:
                         continue
                     if distance(window.codes, part, window.edits) <= window.edits:
-                        found[owners[i]].add(window.item)
+                        found[owners[i]] |= self.items[w]
 
         for i, text in enumerate(texts):
             codes = folded(text)
