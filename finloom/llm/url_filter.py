@@ -8,9 +8,11 @@ For each host the paths form a tree of segments, built level by level from count
 2. similar branches: a branch whose share of labelled block URLs and share of URLs ending there do not differ
    significantly (two-proportion z-tests) from its siblings together is merged into `*` as well;
 3. a template is rejected when its labelled URLs are mostly to block: (blocked + s * base) / (labelled + s) with the
-   base rate among all labelled URLs and strength s. A template without labelled URLs is never rejected.
+   base rate among all labelled URLs and strength s. At least the share `known` of a template's URLs must be labelled: a
+   few blocked ones do not speak for the many unlabelled ones that share a wildcard with them.
 
-Path levels beyond `depth` are one tail. Counts move through shuffles after partial aggregation by (host, prefix,
+The first `depth` levels are always built; below them the tree goes on where a node has blocked URLs and more than one
+path, so a blocked branch is told from a clean one however deep they part. What is not followed is one tail. Counts move through shuffles after partial aggregation by (host, prefix,
 segment), so a host with a third of all pages is a few counts per task; the tree of templates is joined, never
 collected. Rules given by hand win over the tree.
 
@@ -39,6 +41,7 @@ class Settings:
     z: float = 1.96
     strength: float = 2.0
     reject: float = 0.7
+    known: float = 0.5
 
 
 def _rest(url: Column) -> Column:
@@ -76,11 +79,9 @@ def _class(segment: Column) -> Column:
     )
 
 
-def segments_of(path: Column, depth: int) -> Column:
-    """At most `depth` classes of segments; what lies deeper is one `**`."""
-    parts = F.filter(F.split(path, "/"), lambda x: x != "")
-    head = F.transform(F.slice(parts, 1, depth), _class)
-    return F.when(F.size(parts) > depth, F.concat(head, F.array(F.lit("**")))).otherwise(head)
+def segments_of(path: Column) -> Column:
+    """The classes of a path's segments."""
+    return F.transform(F.filter(F.split(path, "/"), lambda x: x != ""), _class)
 
 
 def _z(k: Column, n: Column, others_k: Column, others_n: Column) -> Column:
@@ -98,7 +99,19 @@ def templates(paths: DataFrame, settings: Settings = Settings()) -> DataFrame:
     Works on distinct (host, segments), level by level; each level's result is stored, as the next reads it twice.
     """
     out = stored(paths.withColumn("template", F.lit("")), "url-paths")
-    for level in range(settings.depth + 1):
+    closed, level = None, 0
+    while True:
+        if level >= settings.depth:
+            more = F.size("segments") > level
+            nodes = out.filter(more).groupBy("host", "template").agg(F.sum("blocked").alias("bad"), F.count("*").alias("n"))
+            on = nodes.filter("bad > 0 AND n > 1").select("host", "template", F.lit(True).alias("on"))
+            out = stored(out.join(on, ["host", "template"], "left"), "url-open")
+            tail = F.when(more, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
+            ended = out.filter("on IS NULL").drop("on").withColumn("template", tail)
+            closed = ended if closed is None else closed.unionByName(ended)
+            out = out.filter("on").drop("on")
+            if out.isEmpty():
+                return closed
         segment = F.try_element_at(F.col("segments"), F.lit(level + 1))
         out = out.withColumn("segment", segment)
         ends = F.when(F.size("segments") == level + 1, F.col("urls")).otherwise(F.lit(0))
@@ -140,20 +153,23 @@ def templates(paths: DataFrame, settings: Settings = Settings()) -> DataFrame:
             .drop("name", "segment")
         )
         out = stored(placed, "url-level")
-    return out
+        level += 1
 
 
 def rejected_templates(paths: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """`paths` as in `templates`, returned per (host, segments) with template, purity and whether it is rejected."""
     placed = templates(paths, settings)
     per = placed.groupBy("host", "template").agg(
-        F.sum("blocked").alias("template_blocked"), F.sum("labelled").alias("template_labelled")
+        F.sum("blocked").alias("template_blocked"),
+        F.sum("labelled").alias("template_labelled"),
+        F.sum("urls").alias("template_urls"),
     )
     sums = placed.agg(F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled")).first()  # one row
     base = sums["blocked"] / sums["labelled"] if sums["labelled"] else 0.0
     purity = (F.col("template_blocked") + settings.strength * base) / (F.col("template_labelled") + settings.strength)
     per = per.withColumn("purity", purity)
-    rejected = (F.col("template_labelled") > 0) & (F.col("purity") >= settings.reject)
+    labelled = (F.col("template_labelled") > 0) & (F.col("template_labelled") >= settings.known * F.col("template_urls"))
+    rejected = labelled & (F.col("purity") >= settings.reject)
     per = per.select("host", "template", "purity", rejected.alias("rejected"))
     return placed.select("host", "segments", "template").join(per, ["host", "template"])
 
@@ -163,7 +179,7 @@ def judge(pages: DataFrame, rules: dict[str, str], settings: Settings = Settings
     url = F.col("url").cast("string")
     rows = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
     rows = rows.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
-    rows = rows.withColumn("segments", segments_of(F.col("path"), settings.depth))
+    rows = rows.withColumn("segments", segments_of(F.col("path")))
     by_rule = F.lit(None).cast("string")
     for rule, verdict in rules.items():
         by_rule = F.when(F.col("rule") == rule, F.lit(verdict)).otherwise(by_rule)
