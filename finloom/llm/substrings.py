@@ -44,7 +44,7 @@ from finloom.scratch import fresh_schema
 W = 400
 K = 200
 LIMIT = 32  # classes of one group that a suffix array compares at once; larger groups are halved first
-_PIECE = 1 << 21  # bytes handled at a time
+_PIECE = 1 << 20  # bytes handled at a time
 _SYMBOLS = 1 << 15  # symbols of one suffix array
 
 
@@ -453,7 +453,7 @@ def _halved(hot: DataFrame, w: int, k: int, limit: int) -> list[DataFrame]:
             F.col("a").alias("low"), F.col("b").alias("high"), "key", "core", "class", "done",
             F.xxhash64("key", "core", "class").alias("tag"), back.alias("back"), ahead.alias("ahead"),
         )
-        rows = stored(rows, "substrings-halves")
+        # hashing twice is cheaper than storing the bytes of all halves
         same = stored(rows.groupBy(*place, *own).agg(F.count("*").alias("n"), F.min("tag").alias("chosen")), "substrings-same")
         sizes = same.groupBy(*place).agg(F.count("*").alias("size"))
         same = stored(same.join(sizes, place).filter("size > 1 OR n > 1"), "substrings-sizes")
