@@ -7,7 +7,7 @@ folds into one number per bucket, and a document's log-odds are the mean of its
 per feature, in one pass over the bytes.
 
 The model is fitted on a bounded sample: at most `per_class` labelled documents of each class, chosen by the hash of
-doc_id. Everything else, every document's whole text, is scored by Spark.
+doc_id, those longer than `longest` bytes left out of the sample. Everything else, every document's whole text, is scored by Spark.
 
 Defined results: null and empty texts have only the end-of-text feature and get its score; a label that is null or not
 0 or 1 is ignored; a document labelled twice counts by its higher label; with no labels of one class every document
@@ -36,6 +36,7 @@ class Settings:
     buckets: int = 1 << 16
     dim: int = 8
     per_class: int = 2000
+    longest: int = 1 << 16  # bytes of a text in the sample: with per_class, what the driver holds at most
     epochs: int = 5
     rate: float = 0.3
     seed: int = 7
@@ -78,6 +79,20 @@ def features(texts: list[bytes], buckets: int) -> Iterator[tuple[np.ndarray, np.
     yield every, every, np.zeros(len(texts), np.int64)
 
 
+def _counted(texts: list[bytes], buckets: int, at_once: int = 256) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(buckets, weights) of each text; views of a few arrays of the smallest types that hold them."""
+    kind = np.uint16 if buckets <= 1 << 16 else np.uint32
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    for begin in range(0, len(texts), at_once):
+        found = []
+        for text in texts[begin : begin + at_once]:
+            ids, counts = np.unique(np.concatenate([b for _, _, b in features([text], buckets)]), return_counts=True)
+            found.append((ids.astype(kind), (counts / counts.sum()).astype(np.float32)))
+        edges = np.cumsum([len(ids) for ids, _ in found])[:-1]
+        out += zip(np.split(np.concatenate([x for x, _ in found]), edges), np.split(np.concatenate([x for _, x in found]), edges))
+    return out
+
+
 def train(texts: list[bytes], labels: np.ndarray, settings: Settings) -> np.ndarray:
     """The number of each bucket: what one feature adds to the log-odds of label 1 before averaging."""
     share = float(labels.mean()) if len(labels) else 0.5
@@ -86,11 +101,7 @@ def train(texts: list[bytes], labels: np.ndarray, settings: Settings) -> np.ndar
     rng = np.random.default_rng(settings.seed)
     vectors = rng.uniform(-0.5, 0.5, (settings.buckets, settings.dim)).astype(np.float32) / settings.dim
     output = np.zeros((settings.dim, 2), np.float32)
-    documents = []
-    for text in texts:
-        found = np.concatenate([b for _, _, b in features([text], settings.buckets)])
-        ids, counts = np.unique(found, return_counts=True)
-        documents.append((ids, (counts / counts.sum()).astype(np.float32)))
+    documents = _counted(texts, settings.buckets)
     order = np.arange(len(texts))
     steps, step = settings.epochs * len(texts), 0
     for _ in range(settings.epochs):
@@ -134,6 +145,7 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, settings: Settin
     ids = picked[0].unionByName(picked[1])
     sample = (
         documents.select("doc_id", "text")
+        .filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= settings.longest)
         .join(F.broadcast(ids), "doc_id")  # at most 2 * per_class rows
         .groupBy("doc_id")
         .agg(F.max("text").alias("text"), F.max("label").alias("label"))
