@@ -13,9 +13,10 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finloom.functions.hot import frequent_keys
 from finloom.layer import Layer
 from finloom.operators import cube, quality
-from finloom.operators.clean import LATEST_BY, clean_layer, clean_table, dedup, null_policy, parse_dates, rejects
+from finloom.operators.clean import LATEST_BY, clean_layer, clean_table, dedup, null_policy, parse_dates, rejects_layer
 from finloom.operators.headcount import BITMAPS, headcount_rollup, monthly_bitmaps
 from finloom.operators.kpis import KPIS, first_months, long_form, net_profit_of
 from finloom.operators.mart import FACT_PARTITIONS, POSTED, mart_layer
@@ -24,10 +25,11 @@ from finloom.plans.layers import mart_of, silver_of
 from finloom.plans.pipeline import materialize_kpis, publish_kpi_views, register_session_views, store
 from finloom.schemas import CLEAN, KEYS, MANIFEST, MART, RAW
 from finloom.scratch import fresh_folder, fresh_schema
+from finloom.sinks.buckets import store_bucketed
 from finloom.sinks.tables import overwrite_table, replace_partitions, write_together
 from finloom.sinks.upsert import RANGE, create_keyed, upsert
 from finloom.sinks.versions import replace_table, roll_back
-from finloom.sources import files, samples
+from finloom.sources import drift, files, samples
 from oracle.sql import QUERIES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -244,6 +246,42 @@ def headcounts(spark: SparkSession, folder: str) -> DataFrame:
     return headcount_rollup(spark.table(table))
 
 
+# Buckets and the share, one in so many rows, above which a key is hot, for the sample tables.
+BUCKETS = 8
+
+
+def datacube_payroll_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The cube's payroll rows from payroll and workforce stored by employee; payroll's hot employees, if any, apart."""
+    schema = fresh_schema(spark, "buckets")
+    mart = mart_of(samples.raw_layer(spark, folder))
+    fact = store_bucketed(mart["fact_payroll"], f"{schema}.fact_payroll", "employee_id", BUCKETS)
+    people = store_bucketed(mart["dim_employee"], f"{schema}.dim_employee", "employee_id", BUCKETS, hot=())
+    return cube.payroll_branch_bucketed(mart, fact, people)
+
+
+def _drifted(spark: SparkSession, folder: str) -> str:
+    """A schema with the raw ledger as another system might hand it over: a column less, one more, one spelt otherwise and
+    one as a number."""
+    schema = fresh_schema(spark, "drift")
+    lines = samples.raw_layer(spark, folder)["general_ledgers"].drop("description")
+    lines = lines.withColumnRenamed("status", "Status").withColumn("company_id", F.expr("try_cast(company_id AS INT)"))
+    lines = lines.withColumn("ledger_book", F.expr("CASE WHEN Status = 'Posted' THEN 'main' END"))
+    overwrite_table(lines, f"{schema}.general_ledgers")
+    return schema
+
+
+def raw_schema_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean ledger lines from a drifted raw table."""
+    raw = drift.stored_as_declared(spark, _drifted(spark, folder), {"general_ledgers": RAW["general_ledgers"]})
+    return _clean(raw, "general_ledgers")
+
+
+def dq_schema_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """What was found different in a drifted raw table."""
+    schemas = {"general_ledgers": RAW["general_ledgers"]}
+    return drift.findings(spark, Layer.stored(spark, _drifted(spark, folder), schemas), schemas)
+
+
 # --- data quality --------------------------------------------------------------------------------------------
 
 
@@ -264,6 +302,14 @@ def dq_duplicate_keys(raw: Layer) -> DataFrame:
     return quality.duplicate_keys_of(Layer({n: lambda n=n: _clean(raw, n) for n in CLEAN}), KEYS)
 
 
+def dq_frequent_keys(raw: Layer) -> DataFrame:
+    """Values of the facts' keys that hold a hundredth of their rows or more: what joins and groupings meet as skew."""
+    ledger = ("gl_id", "company_id", "account_id", "department_id", "fiscal_year")
+    pay = ("payroll_id", "company_id", "employee_id", "department_id")
+    found = [frequent_keys(_clean(raw, name), name, keys) for name, keys in (("general_ledgers", ledger), ("payroll", pay))]
+    return reduce(DataFrame.unionByName, found)
+
+
 def dq_orphans(silver: Layer) -> DataFrame:
     """Posted ledger lines are checked as they are, not joined to accounts first."""
     mart = mart_layer(silver)
@@ -309,6 +355,10 @@ def reference_queries() -> dict[str, Query]:
         "kpi6_of_country": kpi6_of_country,
         "headcount_rollup": headcounts,
         "dq_observed": dq_observed,
+        "datacube_payroll_bucketed": datacube_payroll_bucketed,
+        "raw_schema_drift": raw_schema_drift,
+        "dq_schema_drift": dq_schema_drift,
+        "dq_frequent_keys": _on_raw(dq_frequent_keys),
         "clean_employee_dates": _on_raw(lambda raw: parse_dates(raw["employee"], CLEAN["employee"])),
         "clean_gl_dates": _on_raw(lambda raw: parse_dates(raw["general_ledgers"], CLEAN["general_ledgers"])),
         "clean_payroll_dates": _on_raw(lambda raw: parse_dates(raw["payroll"], CLEAN["payroll"])),
@@ -333,7 +383,7 @@ def reference_queries() -> dict[str, Query]:
         "datacube_sample": _on_mart(cube.sample),
         "kpi_session_views": kpi_session_views,
         "kpi1_first_months": _on_mart(lambda mart: first_months(KPIS["kpi1_monthly_consolidated_revenue"].build(mart))),
-        "clean_gl_rejects": _on_raw(lambda raw: rejects(_clean(raw, "general_ledgers"), "general_ledgers")),
+        "clean_gl_rejects": _on_raw(lambda raw: rejects_layer(raw)["general_ledgers_rejects"]),
         "kpi6_first_months": _on_mart(lambda mart: first_months(KPIS[KPI6].build(mart))),
         "dq_null_counts": _on_raw(dq_null_counts),
         "dq_duplicate_keys": _on_raw(dq_duplicate_keys),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finloom.functions.columns import as_type, lenient_date
+from finloom.functions.hot import hot_keys, is_hot
 from finloom.layer import Layer
 from finloom.schemas import CLEAN, KEYS
 
@@ -62,28 +63,50 @@ def _order(df: DataFrame, key: str, latest_by: Sequence[str]) -> list[Column]:
     return order or [F.col(key)]
 
 
-# A key's rows are ranked in this many parts before the parts' first rows are ranked against each other.
+# A hot key's rows are ranked in this many parts before the parts' first rows are ranked against each other.
 PARTS = 64
 
 
-def rejects(clean: DataFrame, table: str) -> DataFrame:
+def rejects(clean: DataFrame, table: str, hot: Sequence[str] | None = None) -> DataFrame:
     """The rows that ``one_row_per_key`` takes out of a clean table, with the reason: together with what it keeps
     they are all rows.
 
-    A row that is not the first of its part of the key's rows is rejected for sure. The parts' first rows, at most PARTS
-    a key, are ranked once more, while the others stay dealt by part: no task sorts all rows of a hot key, and the table is
-    read once.
+    ``hot`` names the keys, as text, with a large share of the rows (``functions.hot.hot_keys``): they are ranked in parts,
+    so no task sorts all rows of one, and the other rows move once. Without the list every key is ranked in parts, in one
+    scan that moves all rows twice. The result is the same for any list.
     """
     key = KEYS[table]
-    order = _order(clean, key, LATEST_BY.get(table, ()))
+    reason = F.when(F.col(key).isNull(), "null_key").otherwise("duplicate_key")
+    if hot is None:
+        out = _beaten_in_parts(clean, table)
+    else:
+        out = _beaten(clean.filter(~is_hot(key, hot)), table)
+        if hot:
+            out = out.unionByName(_beaten_in_parts(clean.filter(is_hot(key, hot)), table))
+    return out.withColumn("reject_reason", reason)
+
+
+def _beaten(rows: DataFrame, table: str) -> DataFrame:
+    """All but the first row of each key, and the rows without one, which are dealt singly."""
+    key = KEYS[table]
+    alone = rows.withColumn("_alone", F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
+    place = F.row_number().over(Window.partitionBy(key, "_alone").orderBy(*_order(rows, key, LATEST_BY.get(table, ()))))
+    beaten = (F.col("_place") > 1) | F.col(key).isNull()
+    return alone.withColumn("_place", place).filter(beaten).drop("_place", "_alone")
+
+
+def _beaten_in_parts(rows: DataFrame, table: str) -> DataFrame:
+    """The same rows as ``_beaten``. A row that is not the first of its part of the key's rows is beaten for sure. The parts'
+    first rows, at most PARTS a key, are ranked once more, while the others stay dealt by part."""
+    key = KEYS[table]
+    order = _order(rows, key, LATEST_BY.get(table, ()))
     number = F.monotonically_increasing_id()
-    rows = clean.withColumn("_part", F.when(F.col(key).isNull(), -1 - number).otherwise(number % PARTS))
+    dealt = rows.withColumn("_part", F.when(F.col(key).isNull(), -1 - number).otherwise(number % PARTS))
     first = F.row_number().over(Window.partitionBy(key, "_part").orderBy(*order)) == 1
-    rows = rows.withColumn("_part", F.when(first & (F.col("_part") >= 0), F.lit(-1)).otherwise(F.col("_part")))
+    dealt = dealt.withColumn("_part", F.when(first & (F.col("_part") >= 0), F.lit(-1)).otherwise(F.col("_part")))
     best = F.row_number().over(Window.partitionBy(key, "_part").orderBy(*order)) == 1
-    rows = rows.withColumn("_stays", best & (F.col("_part") == -1) & F.col(key).isNotNull())
-    reason = F.when(F.col(key).isNull(), "null_key").otherwise("duplicate_key")
-    return rows.filter(~F.col("_stays")).drop("_part", "_stays").withColumn("reject_reason", reason)
+    dealt = dealt.withColumn("_stays", best & (F.col("_part") == -1) & F.col(key).isNotNull())
+    return dealt.filter(~F.col("_stays")).drop("_part", "_stays")
 
 
 # Fixed choice: of several rows with one key the one dated last is the current one.
@@ -99,8 +122,13 @@ def clean_table(raw: DataFrame, table: str, one_row_per_key: bool = False) -> Da
 
 
 def rejects_layer(raw: Layer) -> Layer:
-    """The rejects of the six clean tables, as ``<table>_rejects``."""
-    return Layer({f"{name}_rejects": lambda name=name: rejects(clean_table(raw[name], name), name) for name in CLEAN})
+    """The rejects of the six clean tables, as ``<table>_rejects``. Each table's hot keys are looked for when it is built."""
+
+    def of(name: str) -> DataFrame:
+        clean = clean_table(raw[name], name)
+        return rejects(clean, name, hot_keys(clean, KEYS[name]))
+
+    return Layer({f"{name}_rejects": lambda name=name: of(name) for name in CLEAN})
 
 
 def clean_layer(raw: Layer, one_row_per_key: bool = False) -> Layer:

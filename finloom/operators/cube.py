@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finloom.functions.columns import conform, named
+from finloom.functions.hot import is_hot
+from finloom.functions.joins import is_small
 from finloom.layer import Layer
 from finloom.schemas import CUBE
+from finloom.sinks.buckets import Bucketed
 
 PAYROLL = "PAYROLL"
 GENERAL_LEDGER = "GENERAL_LEDGER"
@@ -87,6 +91,25 @@ def payroll_branch(mart: Layer, columns: Iterable[str] | None = None, fact: Data
     return conform(df.selectExpr("*", f"'{PAYROLL}' AS source_fact"), CUBE, wanted)
 
 
+def payroll_branch_bucketed(
+    mart: Layer, fact: Bucketed, employees: Bucketed, columns: Iterable[str] | None = None
+) -> DataFrame:
+    """``payroll_branch`` from payroll and workforce stored by employee, in the same number of buckets.
+
+    The employee join of the bucketed rows reads matching buckets, without a shuffle. Rows of hot employees join only the
+    workforce rows of those few; they are broadcast if measured small, which unique keys make them.
+    """
+    parts = [(fact.cold, employees.cold)]
+    if fact.hot is not None:
+        few = employees.cold.filter(is_hot(fact.key, fact.hot_keys))
+        parts.append((fact.hot, F.broadcast(few) if is_small(few) else few))
+    branches = []
+    for rows, people in parts:
+        tables = {name: lambda name=name: mart[name] for name in mart if name != "dim_employee"}
+        branches.append(payroll_branch(Layer({**tables, "dim_employee": lambda people=people: people}), columns, rows))
+    return reduce(DataFrame.unionByName, branches)
+
+
 def gl_branch(mart: Layer, columns: Iterable[str] | None = None, fact: DataFrame | None = None) -> DataFrame:
     """Ledger rows with their account, department and company; payroll columns are typed NULLs."""
     wanted = _wanted(columns)

@@ -31,6 +31,7 @@ from finloom.sinks.tables import (
     write_together,
 )
 from finloom.sinks.versions import replace_table
+from finloom.sources.drift import findings, stored_as_declared
 
 CUBE_TABLE = "fact_integrated_datacube"
 CUBE_PARTITIONS = ("source_fact", "fiscal_year")
@@ -60,9 +61,20 @@ def store_clean(spark: SparkSession, raw: Layer, layout: Layout, one_row_per_key
     return clean
 
 
+def store_drift(spark: SparkSession, layout: Layout) -> None:
+    """Where the stored raw tables differ from the declared ones, as ``dq_schema_drift``; raises `SchemaDrift` if a column
+    cannot be read as declared."""
+    ensure_schema(spark, layout.clean)
+    found = findings(spark, Layer.stored(spark, layout.raw, RAW), RAW)
+    overwrite_table(found, f"{layout.clean}.dq_schema_drift", layout.table_format)
+
+
 def build_mart(spark: SparkSession, layout: Layout, one_row_per_key: bool = False) -> Layer:
-    """Raw tables -> clean -> silver -> star schema, each layer stored."""
-    raw = Layer.stored(spark, layout.raw, RAW)
+    """Raw tables -> clean -> silver -> star schema, each layer stored.
+
+    Raw tables whose columns went, came, were renamed or retyped are read as declared where that loses nothing."""
+    raw = stored_as_declared(spark, layout.raw, RAW)
+    store_drift(spark, layout)
     clean = store_clean(spark, raw, layout, one_row_per_key)
     if one_row_per_key:  # what the clean tables leave out
         store(spark, rejects_layer(raw), layout.clean, layout.table_format)
@@ -179,7 +191,7 @@ def build_cube(spark: SparkSession, mart: Layer, layout: Layout) -> DataFrame:
 def rerun_year(spark: SparkSession, layout: Layout, year: int, one_row_per_key: bool = False) -> DataFrame:
     """One fiscal year again, from the raw tables as they are now, against the stored dimensions: its partitions of
     both facts and of the cube are replaced, other years' files stay; then the KPIs are stored anew."""
-    silver = silver_layer(clean_layer(Layer.stored(spark, layout.raw, RAW), one_row_per_key))
+    silver = silver_layer(clean_layer(stored_as_declared(spark, layout.raw, RAW), one_row_per_key))
     fresh = mart_layer(silver, stored_mart(spark, layout))
     facts = [n for n in MART if n.startswith("fact_")]
     for n in facts:

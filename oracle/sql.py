@@ -598,6 +598,26 @@ _BODIES: dict[str, str] = {
         union all
         select *, 'duplicate_key' from (select * from clean_general_ledgers where gl_id is not null
         qualify row_number() over (partition by gl_id order by {_LEDGER_ORDER}) > 1)""",
+    "raw_schema_drift": "select * replace (null::varchar as description) from clean_general_ledgers",
+    "dq_schema_drift": """
+        select 'general_ledgers' as table_name, d.* , case column_name
+                   when 'company_id' then (select count(company_id) from clean_general_ledgers)
+                   when 'status' then (select count(status) from raw_general_ledgers)
+                   when 'ledger_book' then (select count(*) from raw_general_ledgers where status = 'Posted')
+                   else 0 end as n_values
+        from (values ('company_id', 'converted', 'string', 'int'), ('description', 'missing', 'string', null),
+                     ('status', 'renamed', 'string', 'string'), ('ledger_book', 'extra', null, 'string'))
+             as d(column_name, finding, declared_type, stored_type)""",
+    "dq_frequent_keys": " union all ".join(
+        f"select '{table}' as table_name, '{key}' as column_name, {key}::varchar as key_value, count(*) as n_rows, "
+        f"(select count(*) from clean_{table}) as n_all from clean_{table} group by {key} "
+        f"having count(*) * 100 >= (select count(*) from clean_{table})"
+        for table, keys in {
+            "general_ledgers": ("gl_id", "company_id", "account_id", "department_id", "fiscal_year"),
+            "payroll": ("payroll_id", "company_id", "employee_id", "department_id"),
+        }.items()
+        for key in keys
+    ),
     "silver_accounts": "select * from silver_accounts",
     "silver_departments": "select * from silver_departments",
     "silver_employee": "select * from silver_employee",
@@ -611,6 +631,7 @@ _BODIES: dict[str, str] = {
     "fact_payroll": "select * from fact_payroll",
     **KPI_SQL,
     "datacube_payroll": "select * from cube_payroll",
+    "datacube_payroll_bucketed": "select * from cube_payroll",
     "datacube_gl": "select * from cube_gl",
     "fact_integrated_datacube": "select * from cube",
     "datacube_profile": """
