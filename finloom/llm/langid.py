@@ -7,10 +7,15 @@ look-up in the longest table gives the probability under all languages; only a m
 The language with the lowest cross-entropy per character wins. Its lead over the runner-up, scaled by a temperature
 fitted on held-back training texts, is the score; predictions under the calibrated threshold are marked as rejected.
 
-The models are fitted on a bounded sample: about `per_language` texts of each language, chosen by the hash of doc_id.
-Every document's whole text is scored by Spark.
+The shortest models are interpolated with one uniform distribution over all symbols of all languages and one more, which
+stands for every symbol never seen; so a language's probabilities of the known symbols and of an unknown one sum to one.
 
-Defined results: null or empty texts and texts without a letter give `und` with score 0; a null language is no training
+The models are fitted on a bounded sample: about `per_language` different texts of each language, chosen by the hash of
+doc_id and text, of each a stretch of at most `longest` characters that begins at a place given by the same hash. Every
+document's whole text is scored by Spark.
+
+Defined results: a row without doc_id may be learnt from if `learn` says so (in the registered query it has no fold: it is
+not learnt from, and held_out is null); null or empty texts and texts without a letter give `und` with score 0; a null language is no training
 row; with one language all texts with letters get it with score 1; with no training row everything is `und`.
 """
 
@@ -120,7 +125,7 @@ class Model:
     languages: list[str]
     tables: list[tuple[np.ndarray, np.ndarray]]  # by order, from 1: sorted hashes, log-probabilities by language
     weights: list[tuple[np.ndarray, np.ndarray]]  # by order: sorted context hashes, log interpolation weights
-    floor: float  # log-probability of a symbol seen in no language
+    floor: float  # log-probability of a symbol under the uniform distribution that all models end in
     temperature: float = 1.0
     threshold: float = 0.0
 
@@ -151,10 +156,9 @@ def _contexts(codes: np.ndarray, n: int) -> np.ndarray:
     return mix(out + np.uint64(n - 1))
 
 
-def _train_one(codes: list[np.ndarray]) -> tuple[list, list]:
-    """By order: (hashes, probabilities, shorter grams), (context hashes, interpolation weights)."""
+def _train_one(codes: list[np.ndarray], size: int) -> tuple[list, list]:
+    """By order: (hashes, probabilities, shorter grams), (context hashes, interpolation weights); `size` symbols in all."""
     tables, weights = [], []
-    size = len(np.unique(np.concatenate([c[ORDER - 1 :] for c in codes]))) + 1
     for n in range(1, ORDER + 1):
         gram, context, shorter, count = _counts(codes, n, continued=n < ORDER)
         contexts, of = np.unique(context, return_inverse=True)
@@ -176,8 +180,9 @@ def train(samples: dict[str, list[str]]) -> Model:
     languages = sorted(k for k, v in coded.items() if v)
     if not languages:
         return Model([], [], [], -20.0)
-    fitted = [_train_one(coded[k]) for k in languages]
-    floor = float(np.log(1e-4))
+    size = len(np.unique(np.concatenate([c[ORDER - 1 :] for k in languages for c in coded[k]]))) + 1
+    fitted = [_train_one(coded[k], size) for k in languages]
+    floor = float(-np.log(size))
     tables, weights = [], []
     for n in range(ORDER):
         hashes, first = np.unique(np.concatenate([t[n][0] for t, _ in fitted]), return_index=True)
@@ -199,7 +204,7 @@ def train(samples: dict[str, list[str]]) -> Model:
             below = tables[-1][1][np.searchsorted(tables[-1][0], shorter)]
             backed = weight[np.searchsorted(contexts, context_of)] + below
         else:
-            backed = np.full_like(values, floor)
+            backed = np.broadcast_to(weight[0] + floor, values.shape)  # the one context is the empty one
         tables.append((hashes, np.where(np.isnan(values), backed, values).astype(np.float32)))
     return Model(languages, tables, weights, floor)
 
@@ -288,20 +293,25 @@ def calibrate(model: Model, samples: dict[str, list[str]]) -> Model:
     return model
 
 
-def fit(documents: DataFrame, learn: Column, per_language: int = 300) -> Model:
-    """Fit on about `per_language` texts of each language among the rows for which `learn` holds; a tenth of them only
-    calibrates. Texts are taken by a hash threshold, so no group of rows meets in one task."""
-    known = documents.filter(F.col("lang").isNotNull() & learn).select("doc_id", "text", "lang")
-    counts = known.groupBy("lang").agg(F.count("*").alias("n"))  # a row per language
-    order = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 40))
+def fit(documents: DataFrame, learn: Column, per_language: int = 300, longest: int = 8192) -> Model:
+    """Fit on about `per_language` texts of each language among the rows for which `learn` holds, `longest` characters of
+    each at most; a tenth of them only calibrates. Texts are taken by a hash threshold, so no group of rows meets in one
+    task; equal rows are one text, merged before they move, so copies without end do not pass the bound."""
+    rows = documents.filter(F.col("lang").isNotNull() & learn).select(
+        "lang", F.col("text").cast("string").alias("text"), F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(1 << 40)).alias("place")
+    )
+    # a row per language; copies count once, or a language of few texts with many copies could miss the threshold
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("place").alias("n"))
+    start = F.expr(f"CAST(1 + place % greatest(length(text) - {longest} + 1, 1) AS INT)")
     picked = (
-        known.join(F.broadcast(counts), "lang")
-        .filter(order < F.lit(float(per_language)) / F.col("n") * float(1 << 40))
-        .select("lang", "doc_id", "text", order.alias("place"))
+        rows.join(F.broadcast(counts), "lang")
+        .filter(F.col("place") < F.lit(float(per_language)) / F.col("n") * float(1 << 40))
+        .select("lang", "place", F.substring("text", start, F.lit(longest)).alias("text"))
+        .distinct()
         .toArrow()
         .to_pylist()
     )
-    picked.sort(key=lambda r: (r["place"], str(r["doc_id"]), r["text"] or ""))
+    picked.sort(key=lambda r: (r["place"], r["text"] or ""))
     learnt: dict[str, list[str]] = {}
     held: dict[str, list[str]] = {}
     for row in picked:  # every tenth of a language's own texts calibrates, so none is lost to the others

@@ -11,7 +11,8 @@ doc_id, those longer than `longest` bytes left out of the sample. Everything els
 
 Defined results: null and empty texts have only the end-of-text feature and get its score; a label that is null or not
 0 or 1 is ignored; a document labelled twice counts by its higher label; with no labels of one class every document
-gets the share of the other; an empty table gives an empty result. Other columns pass through untouched.
+gets the share of the other; an empty table gives an empty result; a row without doc_id has no label
+and, in the registered query, no fold (held_out is null). Other columns pass through untouched.
 """
 
 from __future__ import annotations
