@@ -13,13 +13,13 @@ Only DataFrame and SQL functions are used. Copies are counted before each shuffl
 
 Defined results: null texts are empty texts; rows with equal doc_id and text are copies of each other and one row stays
 (the last by locator); a null doc_id stays only if its text has no other; columns beside doc_id and text are not read;
-an empty table gives an empty result.
+an empty table gives an empty result. The path is taken literally: a slash at its end and characters of patterns in it
+mean themselves.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,16 +46,27 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-@contextmanager
-def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
-    before = {k: spark.conf.get(k, None) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+def _own_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of this one and those of the state, so that no query beside it sees them."""
+    own = spark.newSession()
+    for row in spark.sql("SET").collect():
+        if own.conf.isModifiable(row["key"]):
+            own.conf.set(row["key"], row["value"])
+    for key, value in _STATE.items():
+        own.conf.set(key, value)
+    return own
+
+
+def plain_path(path: str) -> str:
+    """The path with what readers take for patterns escaped, without a slash at its end."""
+    return "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in path.rstrip("/"))
+
+
+def as_pattern(path: str) -> str:
+    """A pattern that matches the path alone: the streaming source takes a plain path for folders only."""
+    bare = path.rstrip("/")
+    at = max((i for i, c in enumerate(bare) if c.isalnum()), default=len(bare))
+    return plain_path(bare[:at]) + "".join(f"[{c}]" for c in bare[at : at + 1]) + plain_path(bare[at + 1 :])
 
 
 def _documents(source: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
@@ -73,23 +84,21 @@ def _documents(source: DataFrame, digest: Callable[[Column], Column]) -> DataFra
 
 def update_state(spark: SparkSession, path: str, checkpoint: str, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """Take in the files at `path` that the checkpoint has not seen; the state: digest, keep (doc_id, at), n."""
-    schema = spark.read.parquet(path).schema
-    # a pattern that only matches the path itself: the source takes a plain path for folders only
-    source = spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
+    schema = spark.read.parquet(plain_path(path)).schema
+    source = _own_session(spark).readStream.schema(schema).parquet(as_pattern(path))
     state = (
         _documents(source, digest)
         .groupBy("digest")
         .agg(F.max(F.struct("doc_id", "at")).alias("keep"), F.count("*").alias("n"))
     )
-    with _settings(spark, _STATE):
-        query = (
-            state.writeStream.format("noop")
-            .outputMode("update")
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
+    query = (
+        state.writeStream.format("noop")
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
     table = spark.read.format("statestore").load(checkpoint)
     return table.select(
         F.col("key.digest").alias("digest"), F.col("value.max").alias("keep"), F.col("value.count").alias("n")
@@ -102,7 +111,7 @@ def deduplicate(
     """One row per document in the files at `path`: doc_id, keep_id, group_size, kept, text_sha256."""
     state = update_state(spark, path, checkpoint or fresh_folder(spark, "dedup-state"), digest)
     state = stored(state, "dedup-digests")
-    documents = _documents(spark.read.parquet(path), digest)
+    documents = _documents(spark.read.parquet(plain_path(path)), digest)
     # full bytes of every hit against the keeper's; texts seen once are not moved on
     repeated = state.filter("n > 1").select("digest", F.col("keep.at").alias("keeper_at"))
     hits = stored(documents.join(repeated, "digest"), "dedup-hits")
