@@ -9,8 +9,9 @@ back: each `<|` gets a backslash inside, `<|` becoming `<\\|`, `<\\|` becoming `
 backslashes are escaped as well. The loss mask covers the text segment of assistant turns; mask and position of a
 segment follow from prefix sums of segment lengths within the turn, and of turn lengths within the conversation.
 
-The output is one row per turn, not per conversation: rows are dealt by conv_id, sorted by turn and streamed, holding
-one Arrow batch and a running position, so a conversation with a third of all rows takes time but no memory.
+The output is one row per turn, not per conversation. Turns are encoded, and read back, where they lie, before any of
+them moves; then they are dealt by conv_id, sorted by turn and streamed, and only running positions or digests are kept.
+So of a conversation with a third of all rows one task sorts and hashes the turns, with bounded memory, but tokenises none.
 
 Defined results: null texts and roles are empty; a null conv_id is a conversation of its own; repeated turn numbers
 are ordered by role, then text; other columns are dropped; an empty table gives an empty result.
@@ -38,6 +39,10 @@ TURNS = (
     "conv_id bigint, turn bigint, role string, position bigint, token_ids array<int>, loss_mask array<boolean>, "
     "n_tokens int"
 )
+ASSEMBLED = (
+    "conv_id bigint, turn bigint, role string, text string, token_ids array<int>, loss_mask array<boolean>, n_tokens int"
+)
+SAID = "conv_id bigint, turn bigint, role string, text string, trained string, printed bigint, n_tokens bigint"
 DIGESTS = (
     "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
     "formatted_chars bigint, n_tokens bigint"
@@ -117,8 +122,22 @@ def _codec(ranks) -> Callable[[], Codec]:
     return get
 
 
-def format_turns(conversations: DataFrame, path: str = VOCABULARY) -> DataFrame:
-    """One row per turn: ids, loss mask and the turn's position in its conversation, in conversation order."""
+def _batches(rows: list[tuple], schema: str, at_once: int = 512) -> Iterator[pa.RecordBatch]:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
+    kinds["array<boolean>"] = pa.list_(pa.bool_())
+    names, types = zip(*(column.split() for column in schema.split(", ")))
+    for begin in range(0, len(rows), at_once):
+        part = zip(*rows[begin : begin + at_once])
+        yield pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(part, types)], names)
+
+
+def _in_order(turns: DataFrame) -> DataFrame:
+    """Each conversation's turns in one partition, one after the other."""
+    return turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+
+
+def assembled(conversations: DataFrame, path: str = VOCABULARY) -> DataFrame:
+    """One row per turn: ids and loss mask beside its role and text; no row moves."""
     spark: SparkSession = conversations.sparkSession
     codec = _codec(spark.sparkContext.broadcast(vocabulary(path)))
     rows = conversations.select(
@@ -127,64 +146,75 @@ def format_turns(conversations: DataFrame, path: str = VOCABULARY) -> DataFrame:
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
-    def turns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, position = object(), 0
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                if row["conv_id"] != at:
-                    at, position = row["conv_id"], 0
                 ids, mask = codec().assemble(row["role"], row["text"])
-                out.append((row["conv_id"], row["turn"], row["role"], position, ids, mask, len(ids)))
-                position += len(ids)
-            for begin in range(0, len(out), 512):
-                part = list(zip(*out[begin : begin + 512]))
-                kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.int32())
-                names = ("conv_id", "turn", "role", "position", "token_ids", "loss_mask", "n_tokens")
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(part, kinds)], names)
+                out.append((row["conv_id"], row["turn"], row["role"], row["text"], ids, mask, len(ids)))
+            yield from _batches(out, ASSEMBLED)
+
+    return rows.mapInArrow(encode, ASSEMBLED)
 
-    return rows.mapInArrow(turns, TURNS)
+
+def format_turns(conversations: DataFrame, path: str = VOCABULARY) -> DataFrame:
+    """One row per turn: ids, loss mask and the turn's position in its conversation, in conversation order."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, position = object(), 0
+        for batch in batches:
+            positions = []
+            for conv, n in zip(batch.column("conv_id").to_pylist(), batch.column("n_tokens").to_pylist()):
+                if conv != at:
+                    at, position = conv, 0
+                positions.append(position)
+                position += n
+            columns = {name: batch.column(name) for name in batch.schema.names}
+            columns["position"] = pa.array(positions, pa.int64())
+            names = [column.split()[0] for column in TURNS.split(", ")]
+            yield pa.RecordBatch.from_arrays([columns[name] for name in names], names)
+
+    return _in_order(assembled(conversations, path)).drop("text").mapInArrow(place, TURNS)
 
 
 def digests(turns: DataFrame, path: str = VOCABULARY) -> DataFrame:
-    """What the formatted conversations say, read back from ids and masks in the order of format_turns."""
+    """What formatted conversations say, read back from the ids and masks of `assembled` or `format_turns`."""
     codec = _codec(turns.sparkSession.sparkContext.broadcast(vocabulary(path)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, masks = batch.column("token_ids"), batch.column("loss_mask")
+            out = []
+            for i, (conv, turn) in enumerate(zip(batch.column("conv_id").to_pylist(), batch.column("turn").to_pylist())):
+                own, mask = ids[i].values.to_numpy(), masks[i].values.to_numpy(zero_copy_only=False)
+                out.append((conv, turn, *codec().read(own, mask), len(own)))
+            yield from _batches(out, SAID)
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, state = object(), None
         done: list[tuple] = []
 
-        def close():
-            if state is not None:
-                n, said, chars, trained, printed, tokens = state
-                done.append((at, n, said.hexdigest(), chars, trained.hexdigest(), printed, tokens))
-
-        def flush() -> pa.RecordBatch:
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
-            names = [x.split()[0] for x in DIGESTS.split(", ")]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names)
+        def ended() -> list[tuple]:
+            if state is None:
+                return []
+            n, said, chars, trained, printed, tokens = state
+            return [(at, n, said.hexdigest(), chars, trained.hexdigest(), printed, tokens)]
 
         for batch in batches:
-            ids, masks = batch.column("token_ids"), batch.column("loss_mask")
-            for i, conv in enumerate(batch.column("conv_id").to_pylist()):
-                if conv != at:
-                    close()
-                    at, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
-                own, mask = ids[i].values.to_numpy(), masks[i].values.to_numpy(zero_copy_only=False)
-                role, text, trained, printed = codec().read(own, mask)
+            for row in batch.to_pylist():
+                if row["conv_id"] != at:
+                    done += ended()
+                    at, state = row["conv_id"], [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
                 state[0] += 1
-                state[1].update(f"{role}\n{text}\n".encode())
-                state[2] += len(trained)
-                state[3].update(trained.encode())
-                state[4] += printed
-                state[5] += len(own)
-            if done:
-                yield flush()
-                done = []
-        close()
-        if done:
-            yield flush()
-
-    return turns.mapInArrow(read, DIGESTS)
+                state[1].update(f"{row['role']}\n{row['text']}\n".encode())
+                state[2] += len(row["trained"])
+                state[3].update(row["trained"].encode())
+                state[4] += row["printed"]
+                state[5] += row["n_tokens"]
+            yield from _batches(done, DIGESTS)
+            done = []
+        yield from _batches(ended(), DIGESTS)
+
+    seen = turns.select("conv_id", "turn", "token_ids", "loss_mask").mapInArrow(read, SAID)
+    return _in_order(seen).mapInArrow(close, DIGESTS)

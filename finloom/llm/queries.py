@@ -75,7 +75,7 @@ def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
         [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string"
     )
     conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
-    return chat.digests(chat.format_turns(conversations)).drop("n_tokens")
+    return chat.digests(chat.assembled(conversations)).drop("n_tokens")
 
 
 def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
