@@ -246,7 +246,7 @@ def headcounts(spark: SparkSession, folder: str) -> DataFrame:
     return headcount_rollup(spark.table(table))
 
 
-# Buckets and the share, one in so many rows, above which a key is hot, for the sample tables.
+# Enough for the sample tables; stored tables of other sizes take `buckets.bucket_count` of their rows.
 BUCKETS = 8
 
 
