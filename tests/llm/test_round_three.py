@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -250,6 +251,65 @@ def test_bounds_hold_and_spare_scores():
     assert bounds.scored < 0.5 * truth.size
 
 
+def test_blocks_are_neither_broadcast_nor_collected(spark):
+    """Pairs of blocks are many more bytes than blocks; a small table's must not be sent through the driver either."""
+    rng = random.Random(6)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(6)], i % 3) for i in range(60)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").repartition(3)
+    settings = negatives.Settings(anchors=3, candidates=7)
+    prepared = negatives.prepare(frame)
+    blocks = [negatives._blocks(prepared, n, tree, "test") for n, tree in ((3, True), (7, False))]
+    for found in (negatives.positives(*blocks, settings), negatives.mine(frame, F.col("id") % 10 == 0, settings=settings)):
+        assert found.count()
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def block_of(vectors, label, tree, start=0):
+    n = len(vectors)
+    columns = (np.arange(start, start + n), np.arange(start, start + n) * 7 % 50, np.array(label), [np.array(v, np.int32) for v in vectors])
+    batch = pa.RecordBatch.from_arrays(
+        [*(pa.array(x, pa.int64()) for x in columns[:3]), pa.array(columns[3], pa.list_(pa.int32()))], ["row", "id", "label", "vector"]
+    )
+    names = ["block", "n", "size", *negatives._BLOCK_FIELDS]
+    return negatives._Block({f"block_{k}": x for k, x in zip(names, negatives._pack(batch, start, tree))}, "block")
+
+
+@pytest.mark.parametrize("scale, kind", [(1, np.float32), (1 << 12, np.float64), (1 << 21, np.int64)])
+@pytest.mark.parametrize("worth", [0, negatives.WORTH])
+def test_search_of_one_cell(monkeypatch, scale, kind, worth):
+    """Anchors close together and far apart, one very common vector, all kinds of numbers; pieces by bounds or whole."""
+    monkeypatch.setattr(negatives, "WORTH", worth)
+    rng = np.random.default_rng(7)
+    centre = rng.integers(-100, 100, (4, 24))
+    near = lambda n: centre[rng.integers(0, 4, n)] + rng.integers(-6, 7, (n, 24))
+    vectors = np.concatenate([near(60), rng.integers(-100, 100, (40, 24)), np.repeat(centre[:1], 700, 0), near(1500)]) * scale
+    label = rng.integers(0, 3, len(vectors))
+    a = block_of(vectors[:100], label[:100], True)
+    assert len(a.pieces) and len(a.alone) and set(a.alone) | {k for p in a.pieces for k in p} == set(range(100))
+    cells = [block_of(vectors[k : k + 300], label[k : k + 300], False, k) for k in range(0, len(vectors), 300)]
+    score = vectors @ vectors[a.row].T  # exact: below 2^63
+    own = np.concatenate([c.id[np.argsort(c.row)] for c in cells])
+    most = np.iinfo(np.int64).max
+    for same, windows in ((True, [(-most, most)]), (False, [(0, most), (scale * scale * 1000, scale * scale * 50_000), (1, 0)])):
+        least, high = (np.array([[w[i] for w in windows]] * 100) for i in (0, 1))
+        found = negatives._Firsts(least, high, 5)
+        for c in cells:
+            bounds = negatives.Bounds(a, c)
+            assert bounds.left.dtype == kind
+            negatives._search(bounds, found, same)
+            found.merge()
+        got = list(zip(*(x.tolist() for x in found.rows())))
+        expected = []
+        for k in range(100):
+            fit = (label == a.label[k]) == same
+            fit[a.row[k]] = False
+            for w, (low, top) in enumerate(windows):
+                at = np.flatnonzero(fit & (score[:, k] >= low) & (score[:, k] <= top))
+                at = at[np.lexsort((at, own[at], -score[at, k]))[:5]]
+                expected += [(k, w, int(score[i, k]), int(own[i]), int(i)) for i in at]
+        assert got == expected
+
+
 def test_no_embeddings(spark):
     nothing = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
     assert negatives.mine(nothing, F.col("id") % 100 == 0).count() == 0
