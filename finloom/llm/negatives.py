@@ -11,8 +11,8 @@ the piece has scores within its root's plus or minus its distance from the root
 - positives: rows of the anchor's label that reach the 5th largest score found so far;
 - negatives: rows of other labels in a positive's window of scores that reach the 10th largest found so far in it.
 
-Where the bounds would spare little, as in small pieces of short vectors, the whole piece is scored. What a cell has found for an anchor is merged before it
-leaves the task, so a short list per anchor and cell is shuffled.
+Where the bounds would spare little, as in small pieces of short vectors, the whole piece is scored. What a cell has
+found for an anchor is merged before it leaves the task, so a short list per anchor and cell is shuffled.
 
 Defined results: rows with a null label, a null vector, or a null or non-finite component take no part, nor do rows with
 a component of 2^20 or more (their scores leave the long range). Shorter vectors count as if zeros followed. Every row
@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from finloom.llm.store import stored
@@ -43,7 +43,7 @@ _TRIES = 3  # blocks that may give it
 _NONE = np.iinfo(np.int64).min  # less than any score
 _NO_ID = np.iinfo(np.int64).max  # stands for a null vec_id, after all others
 
-_BLOCK = "block bigint, n int, size bigint, row binary, id binary, label binary, vectors binary, parent binary, edge binary"
+_BLOCK = "block bigint, n int, size bigint, item int, row binary, id binary, label binary, vectors binary, parent binary, edge binary"
 _BLOCK_FIELDS = ("row", "id", "label", "vectors", "parent", "edge")
 
 
@@ -118,8 +118,10 @@ def _pack(batch: pa.RecordBatch, block: int, tree: bool) -> tuple:
     else:
         order = np.argsort(label, kind="stable")
     row, own, label, matrix = row[order], own[order], label[order], matrix[order]
+    if np.abs(matrix.astype(np.int64)).max(initial=0) < 1 << 15:
+        matrix = matrix.astype(np.int16)
     parts = (row, own, label, matrix, parent, edge)
-    return (block, len(row), matrix.nbytes, *(np.ascontiguousarray(x).tobytes() for x in parts))
+    return (block, len(row), matrix.nbytes, matrix.itemsize, *(np.ascontiguousarray(x).tobytes() for x in parts))
 
 
 def _sizes(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -143,10 +145,10 @@ def _blocks(rows: DataFrame, size: int, tree: bool, purpose: str) -> DataFrame:
     """Blocks of up to `size` rows, numbered; anchors along a spanning tree, candidates by label."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.int32(), pa.int64(), *(pa.binary() for _ in _BLOCK_FIELDS))
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), *(pa.binary() for _ in _BLOCK_FIELDS))
         for batch in _sizes(batches, size):
             packed = _pack(batch, int(batch.column("row")[0].as_py()), tree)
-            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(packed, kinds)], ["block", "n", "size", *_BLOCK_FIELDS])
+            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(packed, kinds)], ["block", "n", "size", "item", *_BLOCK_FIELDS])
 
     return stored(rows.mapInArrow(pack, _BLOCK), purpose)  # a block goes by the number of its first row
 
@@ -158,7 +160,7 @@ class _Block:
         get = {f: row[f"{prefix}_{f}"] for f in _BLOCK_FIELDS}
         n = row[f"{prefix}_n"]
         self.row, self.id, self.label = (np.frombuffer(get[f], np.int64) for f in ("row", "id", "label"))
-        self.vectors = np.frombuffer(get["vectors"], np.int32).reshape(n, -1)
+        self.vectors = np.frombuffer(get["vectors"], f"i{row.get(f'{prefix}_item', 4)}").reshape(n, -1)
         self.parent, self.edge = np.frombuffer(get["parent"], np.int64), np.frombuffer(get["edge"])
         self.norm = np.sqrt((self.vectors.astype(np.float64) ** 2).sum(1))
         first = np.flatnonzero(np.diff(self.label, prepend=self.label[:1] - 1))
@@ -400,6 +402,14 @@ def _batch(columns: list[np.ndarray], names: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], [x.split()[0] for x in names.split(", ")])
 
 
+def _keys(spark: SparkSession, n: int) -> list[int]:
+    """A number for each of n partitions that a shuffle over n deals to it, so that each gets one cell."""
+    key = F.col("id").cast("int")
+    dealt = spark.range(32 * n).groupBy(F.pmod(F.hash(key), F.lit(n)).alias("place")).agg(F.min(key).alias("key"))
+    found = {place: k for place, k in dealt.collect()}
+    return [found.get(place, 32 * n + place) for place in range(n)]
+
+
 def _cells(anchors: DataFrame, candidates: DataFrame, settings: Settings) -> DataFrame:
     """Every block of anchors with every block of candidates. Both kinds are dealt onto the sides of a grid, a block is
     repeated along the other side; a cell's rows follow each other, its candidates first. Cells are limited by the bytes
@@ -418,6 +428,8 @@ def _cells(anchors: DataFrame, candidates: DataFrame, settings: Settings) -> Dat
     dealt = side(candidates, c_side, a_side, False, f"other * {c_side} + own").unionByName(
         side(anchors, a_side, c_side, True, f"own * {c_side} + other"), allowMissingColumns=True
     )
+    keys = F.array(*map(F.lit, _keys(anchors.sparkSession, a_side * c_side)))
+    dealt = dealt.withColumn("cell", F.element_at(keys, F.col("cell") + 1))
     return dealt.repartition(a_side * c_side, "cell").sortWithinPartitions("cell", "is_anchor", "block_block")
 
 

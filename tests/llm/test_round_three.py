@@ -264,13 +264,19 @@ def test_blocks_are_neither_broadcast_nor_collected(spark):
         assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_each_cell_gets_a_partition(spark):
+    for n in (1, 7, 24):
+        dealt = spark.createDataFrame([(k,) for k in negatives._keys(spark, n)], "cell int").repartition(n, "cell")
+        assert sorted(r[0] for r in dealt.select(F.spark_partition_id()).collect()) == list(range(n))
+
+
 def block_of(vectors, label, tree, start=0):
     n = len(vectors)
     columns = (np.arange(start, start + n), np.arange(start, start + n) * 7 % 50, np.array(label), [np.array(v, np.int32) for v in vectors])
     batch = pa.RecordBatch.from_arrays(
         [*(pa.array(x, pa.int64()) for x in columns[:3]), pa.array(columns[3], pa.list_(pa.int32()))], ["row", "id", "label", "vector"]
     )
-    names = ["block", "n", "size", *negatives._BLOCK_FIELDS]
+    names = ["block", "n", "size", "item", *negatives._BLOCK_FIELDS]
     return negatives._Block({f"block_{k}": x for k, x in zip(names, negatives._pack(batch, start, tree))}, "block")
 
 
