@@ -2,7 +2,7 @@
 
 Scores are inner products of vectors of whole numbers, floor(256 x). Candidates and anchors are packed into blocks, which
 are dealt onto a grid by a shuffle: a cell holds some megabytes of candidates, and the anchors pass through it block by
-block. Nothing is broadcast or collected, and a task holds a cell's candidates and one block of anchors at any table size.
+block. No block is broadcast or collected, and a task holds a cell's candidates and one block of anchors at any table size.
 Each block of anchors carries a minimum spanning tree over their distances. It is cut at edges that are long against
 the anchor; the root of each piece is scored against every candidate, many roots in one matrix product. Another anchor of
 the piece has scores within its root's plus or minus its distance from the root times the candidate's norm
